@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, toxicity
+import public_tokenizers
+
+from . import bpe, language, packing, toxicity
 from .common import remainder, table
 
 
@@ -25,8 +27,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "mixture", "n_segments")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_byte_bpe": op2_byte_bpe,
+    "op5_packing": op5_packing,
     "op10_language": op10_language,
 }
 ORACLE_SQL: dict[str, str] = {}
