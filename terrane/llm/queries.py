@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, language, packing, toxicity
+from . import bpe, language, packing, simhash, toxicity
 from .common import remainder, table
 
 
@@ -20,6 +20,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "n_sentences", "toxic_spans")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs.where(remainder("doc_id", 3) != 1))
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
     "op5_packing": op5_packing,
+    "op7_simhash": op7_simhash,
     "op10_language": op10_language,
 }
 ORACLE_SQL: dict[str, str] = {}
