@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, language, packing, simhash, toxicity
+from . import bpe, flac, language, packing, simhash, toxicity
 from .common import remainder, table
 
 
@@ -20,6 +20,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "n_sentences", "toxic_spans")
 
 
+def op6_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.read_back(flac.encoded(table(spark, sf_dir, "documents")))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
     "op5_packing": op5_packing,
+    "op6_flac": op6_flac,
     "op7_simhash": op7_simhash,
     "op10_language": op10_language,
 }
