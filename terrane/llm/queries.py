@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, flac, language, packing, simhash, toxicity
+from . import bpe, flac, language, packing, secrets, simhash, toxicity, weighted
 from .common import remainder, table
 
 
@@ -28,6 +28,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs.where(remainder("doc_id", 3) != 1))
@@ -40,6 +44,15 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = F.filter("found", lambda x: x["kind"] < len(secrets.BASE))
+    count = lambda k: F.size(F.filter("found", lambda x: x["kind"] == k)).cast("long")
+    return secrets.scan(docs).select(
+        "doc_id", *(count(i).alias(f"n_{r.kind}") for i, r in enumerate(secrets.BASE)), F.sha2(secrets.spelt(base), 256).alias("base_sha256"), secrets.spelt(F.col("found")).alias("spans")
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
@@ -48,9 +61,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_secrets": op3_secrets,
     "op5_packing": op5_packing,
     "op6_flac": op6_flac,
     "op7_simhash": op7_simhash,
+    "op8_weighted": op8_weighted,
     "op10_language": op10_language,
 }
 ORACLE_SQL: dict[str, str] = {}
