@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, flac, language, packing, secrets, simhash, toxicity, weighted
+from . import bpe, flac, language, packing, secrets, simhash, surrogates, toxicity, weighted
 from .common import remainder, table
 
 
@@ -53,6 +53,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(table(spark, sf_dir, "documents"), surrogates.key_of("a key that is kept elsewhere in production"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secrets": op3_secrets,
+    "op4_surrogates": op4_surrogates,
     "op5_packing": op5_packing,
     "op6_flac": op6_flac,
     "op7_simhash": op7_simhash,
