@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, flac, language, packing, secrets, simhash, surrogates, toxicity, weighted
+from . import attention, bpe, flac, language, packing, secrets, simhash, surrogates, toxicity, weighted
 from .common import remainder, table
 
 
@@ -32,6 +32,12 @@ def op8_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = attention.score(docs, remainder("doc_id", 7) != 2, public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs.where(remainder("doc_id", 3) != 1))
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_flac": op6_flac,
     "op7_simhash": op7_simhash,
     "op8_weighted": op8_weighted,
+    "op9_attention": op9_attention,
     "op10_language": op10_language,
 }
 ORACLE_SQL: dict[str, str] = {}
