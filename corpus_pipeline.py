@@ -1,17 +1,64 @@
-"""The corpus pipeline: five stages over documents, each one of the corpus operators."""
+"""The corpus pipeline: five stages over documents, each one of the corpus operators.
+
+A stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the last
+return the columns of documents. Stages cut nothing and sample nothing; the models of the first two
+are fitted as the operators' own queries fit them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from terrane.llm import language, packing, secrets, simhash, toxicity
+from terrane.llm.common import remainder, saved, table
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the sentence model finds toxic go."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0))
+    return toxicity.score(docs, model, (*docs.columns,)).where("predicted = 0").select(*docs.columns)
+
+
+def spoken(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no known language go: those without text or without a letter."""
+    model = language.train(docs)
+    return language.predict(docs, model, (*docs.columns,)).where("lang_pred != 'und'").select(*docs.columns)
+
+
+def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays, and of repeated rows the first."""
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    found = simhash.near_duplicates(rows.select(F.struct("doc_id", "_row").alias("_key"), "text"), "_key")
+    first = found.where("_key = component_id").select("_key._row")
+    return rows.join(first, "_row", "left_semi").select(*docs.columns)
+
+
+def unsecret(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are put out of texts; the number of characters follows."""
+    out = secrets.redact(secrets.scan(docs))
+    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left is packed into sequences of 4096 tokens."""
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", clean), ("language", spoken), ("near_duplicates", unique), ("secrets", unsecret), ("packing", packed),
+]
+#: SQL can't express the stages' models; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """The stages one after another; between them rows are cut off from their past by a checkpoint, as files would."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        docs = saved(docs) if i + 1 < len(STAGES) else docs
     return docs
