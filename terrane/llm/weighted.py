@@ -35,17 +35,23 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def terms(text: Column) -> Column:
-    """array<struct<term, weight>>: distinct words as hashes, with the characters they cover in all."""
+def _runs(text: Column) -> Column:
+    """struct<m, f>: the words of a text as sorted longs, and where each run of equal ones starts.
+
+    A word is its hash with the low byte replaced by its length, so that longs are all that is sorted.
+    """
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    # the low byte of a term is its length, so that sorted longs are all that is needed
     marked = F.sort_array(F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(~255)).bitwiseOR(F.least(F.length(w), F.lit(255)).cast("long"))))
+    places = lambda m: F.when(F.size(m) > 0, F.sequence(F.lit(0), F.size(m) - 1)).otherwise(F.array().cast("array<int>"))
+    return _let(marked, lambda m: F.struct(m.alias("m"), F.filter(places(m), lambda i: (i == 0) | (F.get(m, i) != F.get(m, i - 1))).alias("f")))
 
-    def runs(m: Column) -> Column:
-        first = F.filter(F.transform(m, lambda x, i: F.when((i == 0) | (x != F.get(m, i - 1)), i).otherwise(F.lit(-1))), lambda i: i >= 0)
-        return _let(first, lambda f: F.transform(f, lambda i, k: F.struct(F.get(m, i).alias("term"), ((F.coalesce(F.get(f, k + 1), F.size(m)) - i) * F.get(m, i).bitwiseAND(F.lit(255))).cast("double").alias("weight"))))
 
-    return _let(marked, runs)
+def terms(rows: DataFrame, keys: list[str], text: Column) -> DataFrame:
+    """keys, term and weight, a row for each distinct word: the characters that its occurrences cover. Texts without a word give one row of nulls."""
+    held = rows.select(*keys, F.explode(F.array(_runs(text))).alias("r"))  # generated, so that it is computed once
+    at = held.select(*keys, "r", F.posexplode_outer("r.f").alias("k", "i"))
+    word = "get(r.m, i)"
+    return at.select(*keys, F.expr(word).alias("term"), F.expr(f"cast((coalesce(get(r.f, k + 1), size(r.m)) - i) * ({word} & 255) as double)").alias("weight"))
 
 
 def draw(term: str, log_weight: str, sample: int) -> Column:
@@ -54,9 +60,9 @@ def draw(term: str, log_weight: str, sample: int) -> Column:
     One hash gives five uniforms of 12 bits, two for each gamma and one for the shift.
     """
     h = f"xxhash64({term}, {sample})"
-    unit = lambda place: f"((cast(shiftrightunsigned({h}, {place}) & 4095 as double) + 0.5D) / 4096D)"
+    unit = lambda place: f"(cast(((shiftrightunsigned({h}, {place}) & 4095) << 1) | 1 as double) * {1 / 8192!r}D)"
     r = f"(-ln({unit(52)} * {unit(40)}))"
-    t = f"floor({log_weight} / {r} + {unit(28)})"
+    t = f"cast({log_weight} / {r} + {unit(28)} as bigint)"
     log_a = f"(ln(-ln({unit(16)} * {unit(4)})) - {r} * (cast({t} as double) - {unit(28)} + 1D))"
     name = f"(({h} ^ shiftrightunsigned({h}, 41) ^ {t}) & {_NAME})"
     return F.expr(f"shiftleft(cast(greatest(({log_a} + 64D) * {1 << 33}D, 0D) as bigint), 23) | {name}")
@@ -69,7 +75,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 def signatures(rows: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
     """keys and signature: array<int> of the names of the least draws, -1 where there is no term."""
-    words = rows.select(*keys, F.explode_outer(terms(F.coalesce(F.col(text), F.lit("")))).alias("x")).select(*keys, F.col("x.term").alias("term"), F.ln("x.weight").alias("lw"))
+    words = terms(rows, keys, F.coalesce(F.col(text), F.lit(""))).select(*keys, "term", F.ln("weight").alias("lw"))
     least = words.groupBy(*keys).agg(*[F.min(draw("term", "lw", k)).alias(f"s{k}") for k in range(samples)])
     return least.select(*keys, F.array(*[F.coalesce(F.col(f"s{k}").bitwiseAND(F.lit(_NAME)), F.lit(-1)).cast("int") for k in range(samples)]).alias("signature"))
 
