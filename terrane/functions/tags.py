@@ -26,7 +26,7 @@ def tag(tags: Column, key: str) -> Column:
 
 def values(value: Column) -> Column:
     """The values of a `;` list, trimmed, without empty ones; empty for null."""
-    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), ";"), F.trim), lambda v: v != "")
+    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), ";"), lambda v: F.trim(v)), lambda v: v != "")
 
 
 def matches(tags: Column, conditions: list[dict[str, list[str]]], absent: bool = True) -> Column:
@@ -69,6 +69,10 @@ def _any_in(value: Column, yes: tuple[str, ...], no: tuple[str, ...]) -> Column:
 
 def car_access(tags: Column) -> Column:
     """'no', 'destination' or 'yes': the road's class or ferry allows, bans clear it, the nearest vehicle key overrides, private values make it destination-only."""
+    return let(tags, _car_access)
+
+
+def _car_access(tags: Column) -> Column:
     highway = tag(tags, "highway")
     allowed = F.coalesce(highway.isin(*CAR_ROADS), F.lit(False)) | F.coalesce(tag(tags, "route").isin(*FERRIES), F.lit(False))
     ban = (F.coalesce(tag(tags, "impassable"), F.lit("")) == "yes") | (F.coalesce(tag(tags, "smoothness"), F.lit("")) == "impassable")
@@ -83,8 +87,8 @@ def car_access(tags: Column) -> Column:
 
 def destination_only(tags: Column) -> Column:
     """Tags that let cars in only for a destination; a way that is shut stays as it is."""
-    rest = F.map_filter(tags, lambda k, _: k != "motorcar")
-    return F.when(car_access(tags) == "yes", F.map_concat(rest, F.create_map(F.lit("motorcar"), F.lit("destination")))).otherwise(tags)
+    closed = lambda t: F.map_concat(F.map_filter(t, lambda k, _: k != "motorcar"), F.create_map(F.lit("motorcar"), F.lit("destination")))
+    return let(tags, lambda t: F.when(_car_access(t) == "yes", closed(t)).otherwise(t))
 
 
 def maxspeed(value: Column, zones: dict[str, int] | None = None, low: int = 5, high: int = 150) -> Column:

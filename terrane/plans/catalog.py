@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import geo_queries, table_queries  # noqa: F401
+from .registry import COVERS, ORACLE_SQL, QUERIES
+
+__all__ = ["COVERS", "ORACLE_SQL", "QUERIES"]
