@@ -133,7 +133,14 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 3000, text: str = "tex
     """
     prepare(docs.sparkSession)
     known = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).where("_k is not null and _y in (0, 1)").dropDuplicates(["_k"])
-    pick = lambda v: known.where(F.col("_y") == v).orderBy(F.xxhash64("_k"), "_k").limit(most // 2)
+    sizes = {r._y: r.n for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    hashed = known.withColumn("_h", F.pmod(F.xxhash64("_k"), F.lit(1 << 30)))
+
+    def pick(label: int) -> DataFrame:
+        # a bound on the hash that lets a little more than enough through, so that few rows are sorted however many there are
+        bound = min(1.0, (0.75 * most + 50) / max(1, sizes.get(label, 0)))
+        return hashed.where((F.col("_y") == label) & (F.col("_h") < int(bound * (1 << 30)))).orderBy("_h", "_k").limit(most // 2).drop("_h")
+
     sample = F.broadcast(pick(0).unionByName(pick(1)))
     rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(sample, "_k").orderBy(F.xxhash64("_k"), "_k").select("_t", "_y").limit(most).collect()
     return fit([r._t for r in rows], [r._y for r in rows])

@@ -67,6 +67,20 @@ class WordIds:
         for s, ws in zip(new, parts, strict=True):
             self.stretches[s] = b"".join([known[w] for w in ws])
 
+    def fresh(self, words: list[str]) -> list[bytes]:
+        """Ids of words without blanks, none of which is kept."""
+        plain = [(w.isascii() or max(w, default="") < LIMIT) and not _ODD.search(w) and len(w.split()) == 1 for w in words]
+        parts = [self.words_in(w.lower()) if ok else [] for w, ok in zip(words, plain, strict=True)]
+        pieces = list({p for ps in parts for p in ps})
+        known: dict[str, bytes] = {}
+        if pieces:
+            line = " ".join(p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.chars) for p in pieces)
+            ids = np.array(self.bare.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
+            data = ids.tobytes()
+            known = {p: data[a:b] for p, a, b in zip(pieces, cuts[:-1], cuts[1:], strict=True)}
+        return [b"".join([known[p] for p in ps]) if ok else np.array(self.whole.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w, ps, ok in zip(words, parts, plain, strict=True)]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; what has been learnt is dropped when it is much, and always for long words."""
         split = [t.split() if (t.isascii() or max(t) < LIMIT) and not _ODD.search(t) else None for t in texts]
