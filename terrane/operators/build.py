@@ -53,7 +53,7 @@ def places(objects: DataFrame, rings: dict[str, Column], cfg: BuildConfig = Buil
     rows = rows.select("osm", "kind", "lat", "lon", "zone", *[c.alias(k) for k, c in names(F.col("tags")).items()], T.tag(F.col("tags"), "population").try_cast("long").alias("population"), (F.coalesce(T.tag(F.col("tags"), "capital"), F.lit("")) == "yes").alias("capital"), T.tag(F.col("tags"), "wikidata").isNotNull().alias("known"))
     rows = rows.where(F.coalesce("name", "name_ka", "name_en").isNotNull()).withColumn("occupied", (F.coalesce("zone", F.lit("")) == "occupied").cast("int"))
     own = F.try_element_at(kinds, F.col("kind")) + cfg.population_weight * rank.log_share(F.coalesce("population", F.lit(0)), cfg.population_full) + F.when(F.col("capital"), cfg.capital_bonus).otherwise(0.0) + F.when(F.col("known"), cfg.wikidata_bonus).otherwise(0.0)
-    rows = rows.withColumn("own", own)
+    rows = graph.kept(rows.withColumn("own", own))
     towns = rows.where(~F.col("kind").isin(*cfg.districts)).select(F.col("osm").alias("parent_osm"), F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"), F.col("own").alias("parent_own"), F.col("occupied"), F.try_element_at(reach, F.col("kind")).alias("reach"))
     # an occupied place may only belong to an occupied one, a legal one only to a legal one
     near = spatial.nearest(rows.where(F.col("kind").isin(*cfg.districts)).select("osm", "lat", "lon", "occupied"), towns, "osm", "parent_osm", F.col("reach"), max(km for _, km in cfg.place_kinds.values()) * 1000, ("occupied",))
@@ -86,6 +86,7 @@ def streets(ways: DataFrame, rings: dict[str, Column], centres_: DataFrame, cfg:
     classes = F.create_map(*[x for k, v in cfg.street_classes.items() for x in (F.lit(k), F.lit(v))])
     w = ways.withColumn("class", T.tag(F.col("tags"), "highway")).withColumn("name", T.tag(F.col("tags"), "name")).where(F.col("name").isNotNull() & F.col("class").isin(*cfg.street_classes) & (F.size("line") > 1))
     w = w.select("way", "class", "name", fold.name_key(F.col("name")).alias("key"), "line", geo.bounds(F.col("line")).alias("b"), geo.line_length_m(F.col("line")).alias("m")).where("key != ''")
+    w = graph.kept(w)
     # ways of a name are chained through their corners
     corners = w.select("way", "key", F.explode("line").alias("p")).select("way", "key", F.col("p.y").alias("lat"), F.col("p.x").alias("lon")).withColumn("corner", F.monotonically_increasing_id())
     corners = graph.kept(corners)
@@ -94,7 +95,7 @@ def streets(ways: DataFrame, rings: dict[str, Column], centres_: DataFrame, cfg:
     w = w.join(roots.select(F.col("node").alias("way"), "root"), "way")
     middle = w.groupBy("root", "key").agg(F.min("b.min_x").alias("min_lon"), F.min("b.min_y").alias("min_lat"), F.max("b.max_x").alias("max_lon"), F.max("b.max_y").alias("max_lat"))
     middle = middle.withColumn("lat", (F.col("min_lat") + F.col("max_lat")) / 2).withColumn("lon", (F.col("min_lon") + F.col("max_lon")) / 2).withColumn("addr_city", F.lit(None).cast("string"))
-    placed = city_of(middle, centres_, "root")
+    placed = graph.kept(city_of(middle, centres_, "root"))
     a, b = placed.where("city is not null").alias("x"), placed.where("city is not null").alias("y")
     box = lambda t: {k: F.col(f"{t}.{k}") for k in ("min_lat", "min_lon", "max_lat", "max_lon")}
     near = a.join(b, (F.col("x.key") == F.col("y.key")) & (F.col("x.city") == F.col("y.city")) & (F.col("x.root") < F.col("y.root"))).where(geo.box_gap_m(box("x"), box("y")) <= cfg.street_merge_m)
@@ -122,6 +123,7 @@ def addresses(objects: DataFrame, rings: dict[str, Column], streets_: DataFrame,
     a = zoned(objects.where(T.tag(t, "addr:housenumber").isNotNull()), rings).where(LEGAL)
     a = a.select("osm", "lat", "lon", "zone", T.tag(t, "addr:housenumber").alias("housenumber"), T.tag(t, "addr:street").alias("street_name"), T.tag(t, "addr:place").alias("place"), T.tag(t, "addr:city").alias("addr_city"), T.tag(t, "building").isNotNull().alias("building"))
     a = city_of(a, centres_, "osm").withColumn("key", fold.name_key(F.col("street_name"))).withColumn("words", F.filter(fold.keys(F.col("street_name")), lambda k: ~fold.is_type_key(k)))
+    a = graph.kept(a)
     s = streets_.select("street", F.col("key").alias("s_key"), F.split("key", " ").alias("s_words"), "min_lat", "min_lon", "max_lat", "max_lon", F.col("importance").alias("street_importance"))
     metres = geo.box_distance_m(F.col("lat"), F.col("lon"), F.col("min_lat"), F.col("min_lon"), F.col("max_lat"), F.col("max_lon"))
     # both tiers meet through words: the rows that share the first word of the address, kept if all of its words are there
@@ -130,11 +132,11 @@ def addresses(objects: DataFrame, rings: dict[str, Column], streets_: DataFrame,
     pairs = pairs.where((F.col("metres") <= cfg.address_link_m) & ((F.col("key") == F.col("s_key")) | (F.size(F.array_except("words", "s_words")) == 0)))
     tier = F.when(F.col("key") == F.col("s_key"), 0).otherwise(1)
     linked = pairs.groupBy("osm").agg(F.min(F.struct(tier.alias("tier"), F.col("metres"), F.col("street"), F.col("street_importance"))).alias("b")).select("osm", F.col("b.street").alias("street"), F.col("b.street_importance").alias("street_importance"))
-    a = a.join(linked, "osm", "left")
+    a = graph.kept(a.join(linked, "osm", "left"))
     # what found none is gathered to streets of its own, by name and city and nearness
     own = graph.linked_clusters(a.where("street is null and key != ''").select("osm", "lat", "lon", "key", F.coalesce("city", F.lit("")).alias("c")), "osm", cfg.street_merge_m, ("key", "c")).select("osm", F.col("cluster").alias("virtual"))
     a = a.join(own, "osm", "left").withColumn("on", F.coalesce(F.col("street").cast("string"), F.concat(F.lit("v:"), "virtual"), F.concat_ws("|", F.lit("p:"), "place", "city")))
-    a = a.withColumn("number_key", fold.name_key(F.col("housenumber")))
+    a = graph.kept(a.withColumn("number_key", fold.name_key(F.col("housenumber"))))
     same = graph.linked_clusters(a.select("osm", "lat", "lon", "on", "number_key"), "osm", cfg.address_dedup_m, ("on", "number_key"))
     a = a.join(same, "osm")
     best = a.groupBy("on", "number_key", "cluster").agg(F.min_by("osm", F.struct(~F.col("building"), F.col("osm"))).alias("osm"))
@@ -153,6 +155,7 @@ def pois(objects: DataFrame, rings: dict[str, Column], centres_: DataFrame, cfg:
     border = F.col("kind") == "border_control"
     p = p.where(~(border & close & F.col("name").isNull())).withColumn("kind", F.when(border & close, "line_checkpoint").otherwise(F.col("kind")))
     p = p.withColumn("label", F.coalesce(fold.name_key(F.coalesce("name", "name_ka", "name_en", "brand")), F.lit("")))
+    p = graph.kept(p)
     same = graph.linked_clusters(p.select("osm", "lat", "lon", "kind", "label"), "osm", cfg.poi_dedup_m, ("kind", "label"))
     best = p.join(same, "osm").groupBy("kind", "label", "cluster").agg(F.max_by("osm", F.struct(F.size("tags"), F.col("osm"))).alias("osm"))
     p = city_of(p.join(best.select("osm"), "osm", "left_semi"), centres_, "osm")
@@ -191,7 +194,7 @@ def cameras(nodes: DataFrame, ways: DataFrame, relations: DataFrame, rings: dict
     c = c.withColumn("maxspeed", F.coalesce("relation_speed", "own", "road_speed")).withColumn("maxspeed_src", F.when(F.col("relation_speed").isNotNull(), "relation").when(F.col("own").isNotNull(), "camera").when(F.col("road_speed").isNotNull(), "road"))
     c = c.withColumn("kind", F.coalesce("relation_kind", "kind"))
     order = F.struct(F.col("maxspeed").isNull(), F.col("osm"))
-    c = c.withColumn("priority", F.row_number().over(Window.partitionBy("kind").orderBy(order)).cast("long"))
+    c = graph.kept(c).withColumn("priority", F.row_number().over(Window.partitionBy("kind").orderBy(order)).cast("long"))
     stay = graph.greedy_dedup(c.select("osm", "kind", "lat", "lon", F.col("heading").cast("double").alias("heading"), "priority"), "osm", cfg.camera_dedup_m, cfg.turn_deg)
     return c.join(stay, "osm", "left_semi").select("osm", "kind", "lat", "lon", "maxspeed", "maxspeed_src", "heading", "heading_src", F.bround("road_bearing", 0).cast("int").alias("road_bearing"), F.round(F.when(F.col("node_way").isNull(), F.col("near_m")).otherwise(0.0), 1).alias("road_dist_m"), "road_class", "road_ref", "road_name", (F.coalesce("zone", F.lit("")) == "band").cast("int").alias("band"))
 

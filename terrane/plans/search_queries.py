@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fold, geo
-from ..operators import build, checks, rank, search
+from ..operators import build, checks, graph, rank, search
 from ..sources import binary as B
 from ..sources import tables as src
 from . import shapes as S
@@ -188,9 +188,13 @@ def build_places(spark: SparkSession, d: str) -> DataFrame:
     return build.places(place_objects(spark, d), S.zone_rings())
 
 
+def _centres(spark: SparkSession, d: str) -> DataFrame:
+    return graph.kept(build.centres(build_places(spark, d)))
+
+
 @query("build_streets", "PIP03 AGG04 AGG06 AGG07 AGG08 AGG13 JN18")
 def build_streets(spark: SparkSession, d: str) -> DataFrame:
-    return build.streets(way_objects(spark, d), S.zone_rings(), build.centres(build_places(spark, d)))
+    return build.streets(way_objects(spark, d), S.zone_rings(), _centres(spark, d))
 
 
 @query("build_addresses", "PIP04 JN04 JN05 AGG09 AGG12")
@@ -199,14 +203,16 @@ def build_addresses(spark: SparkSession, d: str) -> DataFrame:
     c = S.points(spark, d, "customer", "c_custkey").join(names, "c_custkey", "left")
     tags = F.create_map(F.lit("addr:housenumber"), (F.col("c_custkey") % 90 + 1).cast("string"), F.lit("addr:street"), F.col("street"), F.lit("building"), F.when(F.col("c_custkey") % 2 == 0, "yes"))
     objects = c.select(F.concat(F.lit("n"), "c_custkey").alias("osm"), "lat", "lon", F.map_filter(tags, lambda _, v: v.isNotNull()).alias("tags"))
-    return build.addresses(objects, S.zone_rings(), build_streets(spark, d), build.centres(build_places(spark, d)))
+    centres = _centres(spark, d)
+    streets = graph.kept(build.streets(way_objects(spark, d), S.zone_rings(), centres))
+    return build.addresses(objects, S.zone_rings(), streets, centres)
 
 
 @query("build_pois", "PIP05 FLT03 AGG09 AGG12 STR21 STR22 STR23")
 def build_pois(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("p_partkey")
     tags = F.create_map(F.lit("amenity"), F.when(k % 5 == 0, "fuel").when(k % 5 == 1, "cafe"), F.lit("tourism"), F.when(k % 5 == 2, "hotel"), F.lit("barrier"), F.when(k % 50 == 3, "border_control"), F.lit("name"), F.when(k % 3 > 0, F.col("p_name")), F.lit("brand"), F.when(k % 7 == 0, F.col("p_brand")), F.lit("toilets"), F.when(k % 2 == 0, "yes"))
-    return build.pois(_objects(spark, d, "part", "p_partkey", tags), S.zone_rings(), build.centres(build_places(spark, d)))
+    return build.pois(_objects(spark, d, "part", "p_partkey", tags), S.zone_rings(), _centres(spark, d))
 
 
 @query("build_cameras", "PIP06 JN08 JN09 JN17 GEO09 STR18 STR19 STR20 SNK03")
