@@ -87,23 +87,22 @@ def fit(texts: list[str], labels: list[int], epochs: int = 120, rate: float = 0.
     """
     if len(set(labels)) < 2:
         return Model()
-    seen: dict[str, list[int]] = {}
-    bags: list[list[set[str]]] = []
+    # two passes: the counts of all features first, then only the features that are learnt from are kept
+    seen: dict[str, int] = {}  # documents of label 0, and above 20 bits those of label 1
     for t, y0 in zip(texts, labels, strict=True):
-        bag = [{f for p in words for w in WORD.findall(p) for f in features(w)} for _, _, words in sentences(t or "")]
-        bags.append(bag)
-        for f in set().union(*bag):
-            seen.setdefault(f, [0, 0])[y0] += 1
+        one = 1 << 20 if y0 else 1
+        for f in {f for _, _, words in sentences(t or "") for p in words for w in WORD.findall(p) for f in features(w)}:
+            seen[f] = seen.get(f, 0) + one
     of = [labels.count(0), labels.count(1)]
-    index = {f: i for i, f in enumerate(f for f, n in seen.items() if _chi2(n, of) >= least_chi2)}
+    index = {f: i for i, f in enumerate(f for f, n in seen.items() if _chi2([n & 0xFFFFF, n >> 20], of) >= least_chi2)}
+    del seen
     cols, rows, owner = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            ids = [index[f] for f in s if f in index]
+    for d, t in enumerate(texts):
+        for _, _, words in sentences(t or ""):
+            ids = {index[f] for p in words for w in WORD.findall(p) for f in features(w) if f in index}
             cols += ids
             rows += [len(owner)] * len(ids)
             owner.append(d)
-    del bags, seen
     cols, rows, owner = np.array(cols, np.int32), np.array(rows, np.int32), np.array(owner, np.int32)
     y, n = np.array(labels, float), len(labels)
     w, b, lift = np.zeros(len(index)), -5.0, 1e-12
