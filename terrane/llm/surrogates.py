@@ -5,7 +5,9 @@ normal form, so every mention in every document gets the same one. Digits and le
 format-preserving Feistel permutation, which can't send two entities of one format to one surrogate;
 names are drawn by a keyed hash, with endings by gender and letters of their script. A distributed check
 then looks for surrogates that two entities share, or that are themselves an entity of the corpus, and
-gives the later one another draw until there are none.
+gives the later one another draw until there are none. Later draws make longer names and longer local
+parts of addresses; what is left in a private network after MOST_DRAWS is dealt the addresses that are
+still free, by rank. Where a format has no room for all its entities, an error is raised.
 
 Defined cases: a null text stays null with no entities, an empty one stays empty; of overlapping
 findings the first in the order of KINDS wins; repeated rows each get a result; an empty table gives an
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, saved
@@ -29,7 +31,10 @@ from .common import map_arrow, saved
 KINDS = ("email", "ipv4", "iban", "card", "ssn", "phone", "name")
 #: At most so many entities with another draw are told to all tasks; more of them are joined to the rows.
 MOST_TOLD = 20_000
-MOST_DRAWS = 16
+#: After so many draws private networks are dealt by rank; after MOST_ROUNDS rows that remain are an error.
+MOST_DRAWS, MOST_ROUNDS = 16, 100
+# Private networks, as first address and width in bits.
+_NETS = ((10 << 24, 24), (127 << 24, 24), (0xC0A80000, 16), (0xAC100000, 20), (0xA9FE0000, 16))
 
 _EMAIL = re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)")
@@ -144,7 +149,7 @@ class Surrogates:
         return "".join(reversed(out))
 
     def normal(self, kind: str, entity: str, draw: int) -> str:
-        """The surrogate's normal form."""
+        """The surrogate's normal form. A draw below 0 is a place in a private network that was dealt by rank."""
         tweak = f"{kind}/{draw}"
         if kind == "email":
             local, _, domain = entity.partition("@")
@@ -153,12 +158,12 @@ class Surrogates:
             keep = (2 if labels[-1] in ("com", "org", "net") else 1) if safe else 0
             own, rest = labels[: len(labels) - keep], labels[len(labels) - keep :]
             shown = [self.letters(x, "domain") for x in (own if keep else own[:-1])] + ([] if keep else [own[-1], "example"])
-            return f"{self.letters(local, f'{tweak}/{domain}')}@{'.'.join([*shown, *rest])}"
+            return f"{self.letters(local + 'a' * (draw // 2), f'{tweak}/{domain}')}@{'.'.join([*shown, *rest])}"
         if kind == "ipv4":
             n = int.from_bytes(bytes(map(int, entity.split("."))))
-            for head, width in ((10 << 24, 24), (127 << 24, 24), (0xC0A80000, 16), (0xAC100000, 20), (0xA9FE0000, 16)):
+            for head, width in _NETS:
                 if n >> width == head >> width:
-                    n = head | self.permuted(n & (1 << width) - 1, 1 << width, f"{tweak}/{head}")
+                    n = head | (-1 - draw if draw < 0 else self.permuted(n & (1 << width) - 1, 1 << width, f"{tweak}/{head}"))
                     return ".".join(map(str, n.to_bytes(4)))
             while True:  # public addresses only, which a walk along the permutation comes back to
                 n = self.permuted(n, 1 << 32, tweak)
@@ -185,7 +190,7 @@ class Surrogates:
         gender, _, word = entity.partition(":")
         script = _script(word)
         parts, n, out = _SYLLABLES[script].split(), self._number(kind, word, draw), ""
-        for _ in range(4):
+        for _ in range(min(4 + draw, 20)):  # a larger space at each draw
             n, d = divmod(n, len(parts))
             out += parts[d]
         return f"{gender}:{out}{_ENDINGS[script][gender]}"
@@ -245,16 +250,53 @@ def collisions(known: DataFrame, key: bytes) -> DataFrame:
     plain = lambda c: F.when(F.col("kind") == "name", F.substring_index(F.col(c), ":", -1)).otherwise(F.col(c))
     rows = saved(drawn(known.withColumn("draw", F.lit(0))))
     real = rows.select("kind", plain("entity").alias("shown")).distinct()
-    for _ in range(MOST_DRAWS):
+    for turn in range(MOST_ROUNDS):
         named = rows.withColumn("shown", plain("made"))
         keeps = named.groupBy("kind", "shown").agg(F.min("entity").alias("first"), F.count(F.lit(1)).alias("n"))
         doubtful = keeps.where("n > 1").join(real, ["kind", "shown"], "left_anti").select("kind", "shown", "first").unionByName(keeps.join(real, ["kind", "shown"], "left_semi").select("kind", "shown", F.lit(None).cast("string").alias("first")))
-        again = named.join(doubtful, ["kind", "shown"]).where("first is null or entity != first").select("kind", "entity", (F.col("draw") + 1).alias("draw"))
-        again = saved(drawn(again))
+        again = saved(named.join(doubtful, ["kind", "shown"]).where("first is null or entity != first").select("kind", "entity", "draw"))
         if again.isEmpty():
-            break
-        rows = saved(rows.join(again.select("kind", "entity"), ["kind", "entity"], "left_anti").unionByName(again))
-    return rows.where("draw > 0").select("kind", "entity", "draw")
+            return rows.where("draw != 0").select("kind", "entity", "draw")
+        kept = rows.join(again, ["kind", "entity"], "left_anti")
+        more = again.withColumn("draw", F.col("draw") + 1)
+        if turn >= MOST_DRAWS:
+            private = (F.col("kind") == "ipv4") & _net("entity").isNotNull()
+            more = more.where(~private).unionByName(_dealt(again.where(private), kept, real, key))
+        rows = saved(kept.unionByName(drawn(more)))
+    raise RuntimeError(f"{again.count()} entities have no surrogate of their own after {MOST_ROUNDS} rounds")
+
+
+def _address(c: str) -> Column:
+    parts = F.split(F.col(c), r"\.")
+    return sum((parts[i].cast("long") * (1 << 24 - 8 * i) for i in range(4)), F.lit(0).cast("long"))
+
+
+def _net(c: str) -> Column:
+    """Which of _NETS an address is in, or null."""
+    return F.coalesce(*[F.when(F.shiftright(_address(c), width) == head >> width, i) for i, (head, width) in enumerate(_NETS)])
+
+
+def _dealt(again: DataFrame, kept: DataFrame, real: DataFrame, key: bytes) -> DataFrame:
+    """(kind, entity, draw) of private addresses: the free ones of their network in a keyed order, by rank."""
+    wanted = again.withColumn("net", _net("entity")).withColumn("rank", F.row_number().over(Window.partitionBy("net").orderBy("entity")))
+    nets = {r.net: r.n for r in wanted.groupBy("net").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a network
+    used = kept.where("kind = 'ipv4'").select(_address("made").alias("value")).unionByName(real.where("kind = 'ipv4'").select(_address("shown").alias("value")))
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = Surrogates(key)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([make._number("rank", v).to_bytes(16) for v in batch.column("value").to_pylist()], pa.binary())], names=["net", "value", "turn"])
+
+    out = again.select("kind", "entity", "draw").limit(0)
+    for net, n in sorted(nets.items()):
+        head, width = _NETS[net]
+        free = again.sparkSession.range(head, head + (1 << width)).select(F.lit(net).alias("net"), F.col("id").alias("value")).join(used, "value", "left_anti").select("net", "value")
+        # a network's addresses are a fixed number, whatever the size of the corpus
+        free = saved(map_arrow(free, order, "net int, value long, turn binary").withColumn("rank", F.row_number().over(Window.partitionBy("net").orderBy("turn"))))
+        if (room := free.count()) < n:
+            raise RuntimeError(f"{n} addresses of network {head >> 24}.{head >> 16 & 255} need a surrogate and {room} are free")
+        out = out.unionByName(wanted.join(free, ["net", "rank"]).select("kind", "entity", (F.lit(head - 1) - F.col("value")).cast("int").alias("draw")))
+    return out
 
 
 def replace(docs: DataFrame, key: bytes, keep: tuple[str, ...] = ("doc_id",), text: str = "text", known: DataFrame | None = None) -> DataFrame:

@@ -190,6 +190,28 @@ def test_surrogates_are_distinct_and_stable(spark, odd, empty):
     assert surrogates.collisions(known, b"k").count() == 0
 
 
+def test_surrogates_of_a_well_filled_format(spark, monkeypatch):
+    """Nearly half of a network's addresses: each gets one of its own that none had."""
+    monkeypatch.setattr(surrogates, "MOST_DRAWS", 2)
+    own = [f"192.168.{i >> 8}.{i & 255}" for i in range(32000)]
+    own += ["10.0.0.1", "8.8.8.8"]
+    known = spark.createDataFrame([("ipv4", x) for x in own], "kind string, entity string")
+    make = surrogates.Surrogates(b"k", {(r.kind, r.entity): r.draw for r in surrogates.collisions(known, b"k").collect()})
+    new = {make.of("ipv4", x) for x in own}
+    assert len(new) == len(own) and not new & set(own) and sum(x.startswith("192.168.") for x in new) == 32000
+    many = spark.createDataFrame([("ipv4", f"169.254.{i >> 8}.{i & 255}") for i in range(33000)], "kind string, entity string")
+    with pytest.raises(RuntimeError):
+        surrogates.collisions(many, b"k")
+
+
+def test_surrogates_of_short_addresses(spark):
+    own = [f"{c}@example.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    known = spark.createDataFrame([("email", x) for x in own], "kind string, entity string")
+    make = surrogates.Surrogates(b"k", {(r.kind, r.entity): r.draw for r in surrogates.collisions(known, b"k").collect()})
+    new = {make.of("email", x) for x in own}
+    assert len(new) == len(own) and not new & set(own)
+
+
 # ---------------------------------------------------------------- 6
 
 
