@@ -296,6 +296,17 @@ def test_attention_counts_and_scores(spark, odd, empty):
     assert attention.score(empty, train, WORDS).collect() == []
 
 
+def test_attention_scores_dont_depend_on_what_is_told(odd, monkeypatch):
+    train = remainder("doc_id", 7) != 2
+    want = {r.doc_id: r for r in attention.score(odd, train, WORDS).collect()}
+    monkeypatch.setattr(attention, "MOST_TOLD", 1)
+    monkeypatch.setattr(attention, "MOST_PAIRS", 1)
+    got = {r.doc_id: r for r in attention.score(odd, train, WORDS).collect()}
+    assert set(got) == set(want)
+    for k, r in got.items():
+        assert r.n_known == want[k].n_known and math.isclose(r.score, want[k].score, abs_tol=1e-4) and math.isclose(r.base_score, want[k].base_score, rel_tol=1e-9)
+
+
 def test_attention_is_causal_and_scores_each_token_once():
     rng = np.random.default_rng(0)
     model = attention.fit([rng.integers(2, 300, 400).astype("<u4").tobytes() for _ in range(4)], np.ones(49408, np.int64), 4)
