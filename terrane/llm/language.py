@@ -123,7 +123,9 @@ def mixtures(texts: list[str], model: Model, penalty: float = 1.0) -> list[tuple
             break
     order = np.argsort(-share, axis=1, kind="stable")
     best, count = np.full(len(docs), -np.inf), np.ones(len(docs), int)
-    for n in range(1, min(k, 4) + 1):
+    for n in range(1, k + 1):
+        if n > 1 and not (np.take_along_axis(share, order[:, n - 1 : n], 1) > 1e-12).any():
+            break  # more languages add nothing but the penalty
         mask = np.zeros_like(share)
         np.put_along_axis(mask, order[:, :n], 1.0, 1)
         part = share * mask

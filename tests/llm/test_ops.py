@@ -84,6 +84,14 @@ def test_language_mixture_and_odd_tables(spark, odd, empty):
     assert none.langs == [] and {r.lang_pred for r in language.predict(odd, none).collect()} == {"und"}
 
 
+def test_language_mixture_of_six(spark):
+    """Letters of their own for each of six languages, all in one document."""
+    words = {x: " ".join(chr(0x61 + 4 * i + j) * 3 + chr(0x61 + 4 * i + (j + 1) % 4) * 3 for j in range(4)) + " " for i, x in enumerate(("a", "b", "c", "d", "e", "f"))}
+    model = language.train(spark.createDataFrame([(t * 30, x) for x, t in words.items()], "text string, lang string"))
+    (got,) = language.mixtures(["".join(t * 20 for t in words.values())], model)
+    assert sorted(x.partition(":")[0] for x in got[2].split(",")) == sorted(words)
+
+
 # ---------------------------------------------------------------- 2, 5
 
 
