@@ -351,10 +351,9 @@ def split_runs(spark: SparkSession, d: str) -> DataFrame:
     return runs.select("user_id", F.col("r.first").cast("long").alias("first"), F.col("r.last").cast("long").alias("last"), F.col("r.flag").alias("flag"))
 
 
-def clipped(spark: SparkSession, d: str, most: int = 4000) -> DataFrame:
+def clipped(w: DataFrame) -> DataFrame:
     """Ways cut by legality: way, piece, id, first, last, band, reason."""
     z = S.zone_rings()
-    w = S.ways(spark, d).where(F.col("way") < most)
     inside = lambda zone: F.transform("line", lambda p: geo.contains(z[zone], p["x"], p["y"]))
     w = w.withColumn("ok", F.zip_with(inside("country"), inside("hard"), lambda a, b: a & ~b)).withColumn("hard", inside("hard")).withColumn("out", F.transform(inside("country"), lambda a: ~a)).withColumn("b", inside("band"))
     n = F.greatest(F.size("line") - 1, F.lit(0))
@@ -378,17 +377,17 @@ _CLIP = f"""WITH n AS {_NODE_OK}, w AS (SELECT way, count(*) AS nodes, bool_or(h
 
 @query("clip_ways", "ARR03 ARR04 SRC05 FLT05 FLT12", _CLIP)
 def clip_ways(spark: SparkSession, d: str) -> DataFrame:
-    out = clipped(spark, d)
+    out = clipped(S.ways(spark, d).where("way < 4000"))  # as its SQL twin
     return out.select("way", F.col("piece").cast("long").alias("piece"), "id", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), "band", "reason")
 
 
 @query("relation_filter", "ARR07")
 def relation_filter(spark: SparkSession, d: str) -> DataFrame:
     """Customers as relations whose members are their orders' ways, after the clip."""
-    pieces = clipped(spark, d)
+    pieces = clipped(S.ways(spark, d))
     refs = S.ways(spark, d).select("way", "refs")
     kept = pieces.where("piece is not null").join(refs, "way").withColumn("nodes", F.expr("slice(refs, first + 1, last - first + 1)")).select("way", "piece", "id", "nodes")
-    o = table(spark, d, "orders").where("o_orderkey < 4000")
+    o = table(spark, d, "orders")
     pos = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
     members = o.select(F.col("o_custkey").alias("relation"), F.when(F.col("o_custkey") % 10 == 0, "restriction").otherwise("route").alias("kind"), pos.alias("pos"), F.lit("w").alias("type"), F.col("o_orderkey").alias("ref"), F.lit("").alias("role"))
     out = lines.rewrite_members(members, pieces.where("piece is null").select("way"), kept)
@@ -438,7 +437,7 @@ def ring_assembly(spark: SparkSession, d: str) -> DataFrame:
 
 @query("shortest_path", "PIP08 PIP07")
 def shortest_path(spark: SparkSession, d: str) -> DataFrame:
-    seg = table(spark, d, "orders").where("o_orderkey < 3000").select((F.col("o_custkey") % 40).cast("string").alias("section"), (F.col("o_orderkey") % 17).alias("a"), (F.col("o_orderkey") * 7 % 17).alias("b"), (F.col("o_totalprice") / 100).alias("metres"), (F.col("o_orderkey") % 9 * 10 + 20).cast("int").alias("maxspeed"))
+    seg = table(spark, d, "orders").select((F.col("o_custkey") % 40).cast("string").alias("section"), (F.col("o_orderkey") % 17).alias("a"), (F.col("o_orderkey") * 7 % 17).alias("b"), (F.col("o_totalprice") / 100).alias("metres"), (F.col("o_orderkey") % 9 * 10 + 20).cast("int").alias("maxspeed"))
     rows = seg.withColumn("edge", F.lit(0)).withColumn("start", F.lit(1).cast("long")).withColumn("goal", F.lit(5).cast("long")).withColumn("gap", F.lit(40_000.0))
     return graph.limits_along(rows)
 

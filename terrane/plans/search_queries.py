@@ -176,10 +176,10 @@ def place_objects(spark: SparkSession, d: str) -> DataFrame:
     return _objects(spark, d, "supplier", "s_suppkey", F.create_map(F.lit("place"), kind, F.lit("name"), F.col("s_name"), F.lit("population"), (F.abs("s_acctbal") * 100).cast("long").cast("string"), F.lit("capital"), F.when(k == 10, "yes"), F.lit("wikidata"), F.when(k % 4 == 0, "Q1")))
 
 
-def way_objects(spark: SparkSession, d: str, most: int = 1500) -> DataFrame:
+def way_objects(spark: SparkSession, d: str) -> DataFrame:
     names = table(spark, d, "part").select((F.col("p_partkey") * 7).alias("way"), F.col("p_name").alias("street"))
     t = S.order_tags(spark, d).withColumnRenamed("tags", "t")
-    w = S.ways(spark, d).where(F.col("way") < most).join(t, "way").join(names, "way", "left")
+    w = S.ways(spark, d).join(t, "way").join(names, "way", "left")
     return w.select("way", "refs", "line", "class_rank", F.map_filter(F.map_concat("t", F.create_map(F.lit("name"), F.col("street"))), lambda _, v: v.isNotNull()).alias("tags"))
 
 
@@ -219,7 +219,7 @@ def build_pois(spark: SparkSession, d: str) -> DataFrame:
 def build_cameras(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("p_partkey")
     tags = F.create_map(F.lit("highway"), F.lit("speed_camera"), F.lit("direction"), F.when(k % 4 == 0, "forward").when(k % 4 == 1, "90").when(k % 4 == 2, "NW"), F.lit("maxspeed"), F.when(k % 3 == 0, "60"))
-    nodes = _objects(spark, d, "part", "p_partkey", tags).where("id <= 400")
+    nodes = _objects(spark, d, "part", "p_partkey", tags)
     relations = table(spark, d, "part").where("p_partkey % 40 = 0").select(F.concat(F.lit("r"), "p_partkey").alias("osm"), F.lit("average_speed").alias("kind"), F.lit(70).alias("maxspeed"), k.alias("device"))
     return build.cameras(nodes, way_objects(spark, d), relations, S.zone_rings())
 
@@ -228,7 +228,7 @@ def build_cameras(spark: SparkSession, d: str) -> DataFrame:
 def build_hazards(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("p_partkey")
     tags = F.create_map(F.lit("traffic_calming"), F.when(k % 3 == 0, "bump").when(k % 3 == 1, "table"), F.lit("railway"), F.when(k % 3 == 2, "level_crossing"))
-    nodes = _objects(spark, d, "part", "p_partkey", tags).where("id <= 600")
+    nodes = _objects(spark, d, "part", "p_partkey", tags)
     rails = table(spark, d, "part").where("p_partkey % 2 = 0").select(k.alias("node"))
     return build.hazards(nodes, way_objects(spark, d), S.zone_rings(), rails)
 
@@ -336,7 +336,7 @@ def mvt_decode(spark: SparkSession, d: str) -> DataFrame:
 @query("polyline_decode", "SRC11 SRC10")
 def polyline_decode(spark: SparkSession, d: str) -> DataFrame:
     """Ways written as encoded lines by SQL, and read back."""
-    w = S.ways(spark, d).where("way < 800").select("way", "line")
+    w = S.ways(spark, d).select("way", "line")
     micro = lambda p, k: F.round(p[k] * 1e6, 0).cast("long")
     deltas = F.flatten(F.transform(F.sequence(F.lit(0), F.size("line") - 1), lambda i: F.array(*[micro(F.get("line", i), k) - F.coalesce(micro(F.get("line", i - 1), k), F.lit(0)) for k in ("y", "x")])))
     zig = lambda v: F.when(v < 0, -2 * v - 1).otherwise(2 * v)
