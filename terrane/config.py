@@ -55,5 +55,7 @@ class SearchConfig:
     occupied_factor: float = 0.9
     margin: float = 0.01
     per_table: int = 80
+    local: int = 80
+    local_box_deg: float = 0.3
     limit: int = 10
     categories: tuple[tuple[str, str], ...] = (("petrol", "fuel"), ("fuel", "fuel"), ("cafe", "cafe"), ("restaurant", "cafe"), ("hotel", "hotel"))

@@ -37,20 +37,58 @@ def parsed(queries: DataFrame, key: str = "q", text: str = "text") -> DataFrame:
     return queries.select(key, text).mapInArrow(run, f"{key} {kind}, n int, pos int, raw string, keys array<string>, prefixes array<string>, is_number boolean, required boolean, last boolean, initials array<string>")
 
 
+def optional_numbers(words: DataFrame) -> DataFrame:
+    """Words of a search among rows without house numbers: numbers are optional wherever other words are required."""
+    named = words.groupBy("q").agg(F.count_if(F.col("required") & ~F.col("is_number")).cast("int").alias("named"))
+    out = words.join(named, "q")
+    loose = (F.col("named") > 0) & F.col("is_number")
+    return out.withColumn("n", F.when(F.col("named") > 0, F.col("named")).otherwise(F.col("n"))).withColumn("last", F.col("last") & ~loose).withColumn("required", F.col("required") & ~loose).drop("named")
+
+
+def _starts(key: Column, prefix: Column, is_number: Column) -> Column:
+    """Whether a key begins with a prefix; with letters only after it where that is a number."""
+    return F.startswith(key, prefix) & (~is_number | ~F.substr(key, F.length(prefix) + 1).rlike("[^a-z]"))
+
+
 def matches(words: DataFrame, index: DataFrame) -> DataFrame:
     """q, pos, id of rows that hold a key which begins with one of a word's prefixes; numbers must be equal up to a letter."""
     starts = words.where("required").select("q", "n", "pos", "is_number", F.explode("prefixes").alias("prefix"))
     head = lambda c: F.substring(c, 1, HEAD)
     short = starts.where(F.length("prefix") < HEAD)
-    hits = starts.where(F.length("prefix") >= HEAD).withColumn("h", head("prefix")).join(index.withColumn("h", head("key")), "h").where(F.expr("startswith(key, prefix)")).select("q", "n", "pos", "id")
-    one = short.withColumn("h", F.substring("prefix", 1, 1)).join(index.withColumn("h", F.substring("key", 1, 1)), "h").where(F.expr("startswith(key, prefix)")).select("q", "n", "pos", "id")
+    hits = starts.where(F.length("prefix") >= HEAD).withColumn("h", head("prefix")).join(index.withColumn("h", head("key")), "h").where(_starts(F.col("key"), F.col("prefix"), F.col("is_number"))).select("q", "n", "pos", "id")
+    one = short.withColumn("h", F.substring("prefix", 1, 1)).join(index.withColumn("h", F.substring("key", 1, 1)), "h").where(_starts(F.col("key"), F.col("prefix"), F.col("is_number"))).select("q", "n", "pos", "id")
     return hits.unionByName(one).distinct()
 
 
-def candidates(words: DataFrame, index: DataFrame, most: int = 80) -> DataFrame:
-    """q, id of rows that all required words match, the best `most` by id (ids follow importance)."""
-    every = matches(words, index).groupBy("q", "n", "id").agg(F.count(F.lit(1)).alias("k")).where("k = n")
-    return every.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("id"))).where(F.col("r") <= most).select("q", "id")
+def candidates(words: DataFrame, index: DataFrame, most: int = 80, rows: DataFrame | None = None, near: DataFrame | None = None, cities: DataFrame | None = None, cfg: SearchConfig = SearchConfig()) -> DataFrame:
+    """q, id of rows that all required words match: the best `most` by id (ids follow importance), and as many as cfg.local of those in the box around the query's place.
+
+    A query with cities has the best rows of those cities and of the box of each one's reach instead.
+    rows: id, lat, lon, and city_id for cities; near: q, q_lat, q_lon; cities: q, city_id, c_lat, c_lon, reach_km.
+    """
+    every = matches(words, index).groupBy("q", "n", "id").agg(F.count(F.lit(1)).alias("k")).where("k = n").select("q", "id")
+
+    def best(found: DataFrame, by: list[str], top: int) -> DataFrame:
+        return found.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("id"))).where(F.col("r") <= top).select("q", "id")
+
+    def around(found: DataFrame, lat: str, lon: str, box: Column) -> DataFrame:
+        wide = box / F.greatest(F.lit(0.2), F.cos(F.radians(lat)))
+        return found.where(F.col("lat").between(F.col(lat) - box, F.col(lat) + box) & F.col("lon").between(F.col(lon) - wide, F.col(lon) + wide))
+
+    out = best(every if cities is None else every.join(cities.select("q").distinct(), "q", "left_anti"), ["q"], most)
+    if near is not None:
+        placed = every if cities is None else every.join(cities.select("q").distinct(), "q", "left_anti")
+        there = placed.join(near, "q").join(rows.select("id", "lat", "lon"), "id")
+        out = out.unionByName(best(around(there, "q_lat", "q_lon", F.lit(cfg.local_box_deg)), ["q"], cfg.local))
+    if cities is not None:
+        there = every.join(cities, "q").join(rows.select("id", "lat", "lon", F.col("city_id").alias("own")), "id")
+        out = out.unionByName(best(there.where("own = city_id").select("q", "id").distinct(), ["q"], most))
+        km = geo.distance_m(F.col("c_lat"), F.col("c_lon"), F.col("lat"), F.col("lon")) / 1000
+        boxed = around(there, "c_lat", "c_lon", F.col("reach_km") / 111.0)
+        # of the box's best only those within the reach, or of a city of the query, are offered
+        kept = boxed.withColumn("r", F.row_number().over(Window.partitionBy("q", "city_id").orderBy("id"))).where(F.col("r") <= cfg.local)
+        out = out.unionByName(kept.where((km <= F.col("reach_km")) | F.coalesce(F.col("own") == F.col("city_id"), F.lit(False))).select("q", "id"))
+    return out.distinct()
 
 
 def text_scores(words: DataFrame, found: DataFrame, names: DataFrame, cfg: SearchConfig = SearchConfig()) -> DataFrame:
@@ -62,7 +100,7 @@ def text_scores(words: DataFrame, found: DataFrame, names: DataFrame, cfg: Searc
     keys = names.select("id", "name_pos", F.size("keys").alias("total"), F.posexplode("keys").alias("key_pos", "key"))
     pairs = found.join(keys, "id").join(words, "q")
     stems = fold.name_bases(F.col("key"))
-    value = F.when(F.array_contains("keys", F.col("key")), cfg.exact).when(F.arrays_overlap(stems, F.col("prefixes")), cfg.stem).when(F.exists("prefixes", lambda p: F.startswith(F.col("key"), p)), F.when(F.col("last"), cfg.prefix_last).otherwise(cfg.prefix)).otherwise(0.0)
+    value = F.when(F.array_contains("keys", F.col("key")), cfg.exact).when(F.arrays_overlap(stems, F.col("prefixes")), cfg.stem).when(F.exists("prefixes", lambda p: _starts(F.col("key"), p, F.col("is_number"))), F.when(F.col("last"), cfg.prefix_last).otherwise(cfg.prefix)).otherwise(0.0)
     best = pairs.withColumn("v", value).where("v > 0").groupBy("q", "id", "name_pos", "total", "pos", "n", "required").agg(F.max("v").alias("v"), F.min_by("key_pos", F.struct((-F.col("v")).alias("v"), F.col("key_pos"))).alias("key_pos"))
     sums = best.groupBy("q", "id", "name_pos", "total", "n").agg(F.sum(F.when(F.col("required"), F.col("v")).otherwise(0.0)).alias("s"), F.count_if(F.col("required")).alias("k"), F.count_if(~F.col("required")).alias("opt"), F.count_distinct("key_pos").alias("met")).where("k = n")
     optional = words.where("not required").groupBy("q").agg(F.count(F.lit(1)).alias("typed"))
@@ -94,11 +132,11 @@ def rarest(words: DataFrame, index: DataFrame, most: int = 500) -> DataFrame:
 
 def search(queries: DataFrame, rows: DataFrame, names: DataFrame, index: DataFrame, near: DataFrame | None = None, cfg: SearchConfig = SearchConfig()) -> DataFrame:
     """q, rank, id, score, text, partial. A query that finds nothing is tried again without its rarest word."""
-    words = parsed(queries)
-    first = ranked(text_scores(words, candidates(words, index, cfg.per_table), names, cfg), rows, near, cfg)
+    words = optional_numbers(parsed(queries))
+    first = ranked(text_scores(words, candidates(words, index, cfg.per_table, rows, near, cfg=cfg), names, cfg), rows, near, cfg)
     rest = words.where("n > 1").join(first.select("q").distinct(), "q", "left_anti")
     less = rest.join(rarest(rest, index).withColumnRenamed("pos", "out"), "q").where("pos != out").drop("out").withColumn("n", F.col("n") - 1)
-    again = ranked(text_scores(less, candidates(less, index, cfg.per_table), names, cfg), rows, near, cfg)
+    again = ranked(text_scores(less, candidates(less, index, cfg.per_table, rows, near, cfg=cfg), names, cfg), rows, near, cfg)
     return first.withColumn("partial", F.lit(False)).unionByName(again.withColumn("partial", F.lit(True)))
 
 
