@@ -138,7 +138,7 @@ def rarest_word(spark: SparkSession, d: str) -> DataFrame:
     return search.rarest(search.parsed(_typed(spark, _QUERIES)), _index(_rows(spark, d)))
 
 
-@query("settlement_spans", "FTS08 FTS09 FTS10 Q8")
+@query("settlement_spans", "FTS08 FTS10 Q8")
 def settlement_spans(spark: SparkSession, d: str) -> DataFrame:
     """One- and two-word stretches of typed texts that name a nation."""
     names = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), fold.name_key(F.col("n_name")).alias("key"))
@@ -155,7 +155,7 @@ def house_fit(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "supplier").select("s_suppkey", search.house_fit(k, number).alias("fit"))
 
 
-@query("held_scores", "FTS12 FTS13 FTS15", "SELECT q, row_number() OVER (PARTITION BY q ORDER BY held DESC, score DESC, id) AS rank, id, held AS score FROM (SELECT a.p_size % 5 AS q, a.p_partkey AS id, a.p_retailprice AS score, least(a.p_retailprice, coalesce(m.cap, a.p_retailprice)) AS held FROM part a LEFT JOIN (SELECT p_size % 5 AS q, max(p_retailprice) - 0.01 AS cap FROM part WHERE p_partkey <= 5 GROUP BY 1) m ON m.q = a.p_size % 5 AND a.p_partkey BETWEEN 6 AND 20 WHERE a.p_partkey <= 40)")
+@query("held_scores", "FTS15", "SELECT q, row_number() OVER (PARTITION BY q ORDER BY held DESC, score DESC, id) AS rank, id, held AS score FROM (SELECT a.p_size % 5 AS q, a.p_partkey AS id, a.p_retailprice AS score, least(a.p_retailprice, coalesce(m.cap, a.p_retailprice)) AS held FROM part a LEFT JOIN (SELECT p_size % 5 AS q, max(p_retailprice) - 0.01 AS cap FROM part WHERE p_partkey <= 5 GROUP BY 1) m ON m.q = a.p_size % 5 AND a.p_partkey BETWEEN 6 AND 20 WHERE a.p_partkey <= 40)")
 def held_scores(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").where("p_partkey <= 40").select((F.col("p_size") % 5).alias("q"), F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("score"))
     exact = p.where("id <= 5").select("q", "id", F.sequence(F.lit(6).cast("long"), F.lit(20).cast("long")).alias("holds"))
@@ -183,7 +183,7 @@ def way_objects(spark: SparkSession, d: str) -> DataFrame:
     return w.select("way", "refs", "line", "class_rank", F.map_filter(F.map_concat("t", F.create_map(F.lit("name"), F.col("street"))), lambda _, v: v.isNotNull()).alias("tags"))
 
 
-@query("build_places", "PIP01 PIP02 PRJ01 PRJ02 JN07 JN14 AGG14")
+@query("build_places", "PIP01 PIP02 PRJ01 PRJ02 JN14 AGG14")
 def build_places(spark: SparkSession, d: str) -> DataFrame:
     return build.places(place_objects(spark, d), S.zone_rings())
 

@@ -41,7 +41,7 @@ def address_street(spark: SparkSession, d: str) -> DataFrame:
     return pairs.groupBy("s_suppkey").agg(best.alias("b")).select("s_suppkey", "b.p_partkey", "b.tier")
 
 
-@query("area_place_link", "JN06 JN07", "WITH r AS (SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) rn FROM customer WHERE c_custkey <= 200), s AS (SELECT s_suppkey, s_nationkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) rn FROM supplier) SELECT s_suppkey, c_custkey FROM s LEFT JOIN r ON r.c_nationkey = s.s_nationkey AND r.rn = s.rn")
+@query("area_place_link", "", "WITH r AS (SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) rn FROM customer WHERE c_custkey <= 200), s AS (SELECT s_suppkey, s_nationkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) rn FROM supplier) SELECT s_suppkey, c_custkey FROM s LEFT JOIN r ON r.c_nationkey = s.s_nationkey AND r.rn = s.rn")
 def area_place_link(spark: SparkSession, d: str) -> DataFrame:
     """Areas and places of one name are linked one to one, the first to the first; an area that is left over stays without."""
     order = lambda g, k: F.row_number().over(Window.partitionBy(g).orderBy(k)).alias("rn")
