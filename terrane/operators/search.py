@@ -39,8 +39,7 @@ def parsed(queries: DataFrame, key: str = "q", text: str = "text") -> DataFrame:
 
 def optional_numbers(words: DataFrame) -> DataFrame:
     """Words of a search among rows without house numbers: numbers are optional wherever other words are required."""
-    named = words.groupBy("q").agg(F.count_if(F.col("required") & ~F.col("is_number")).cast("int").alias("named"))
-    out = words.join(named, "q")
+    out = words.withColumn("named", F.count_if(F.col("required") & ~F.col("is_number")).over(Window.partitionBy("q")).cast("int"))
     loose = (F.col("named") > 0) & F.col("is_number")
     return out.withColumn("n", F.when(F.col("named") > 0, F.col("named")).otherwise(F.col("n"))).withColumn("last", F.col("last") & ~loose).withColumn("required", F.col("required") & ~loose).drop("named")
 
@@ -71,24 +70,31 @@ def candidates(words: DataFrame, index: DataFrame, most: int = 80, rows: DataFra
     def best(found: DataFrame, by: list[str], top: int) -> DataFrame:
         return found.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("id"))).where(F.col("r") <= top).select("q", "id")
 
-    def around(found: DataFrame, lat: str, lon: str, box: Column) -> DataFrame:
+    def inside(lat: str, lon: str, box: Column) -> Column:
         wide = box / F.greatest(F.lit(0.2), F.cos(F.radians(lat)))
-        return found.where(F.col("lat").between(F.col(lat) - box, F.col(lat) + box) & F.col("lon").between(F.col(lon) - wide, F.col(lon) + wide))
-
-    out = best(every if cities is None else every.join(cities.select("q").distinct(), "q", "left_anti"), ["q"], most)
-    if near is not None:
-        placed = every if cities is None else every.join(cities.select("q").distinct(), "q", "left_anti")
-        there = placed.join(near, "q").join(rows.select("id", "lat", "lon"), "id")
-        out = out.unionByName(best(around(there, "q_lat", "q_lon", F.lit(cfg.local_box_deg)), ["q"], cfg.local))
+        return F.col("lat").between(F.col(lat) - box, F.col(lat) + box) & F.col("lon").between(F.col(lon) - wide, F.col(lon) + wide)
+
+    plain = every if cities is None else every.join(cities.select("q").distinct(), "q", "left_anti")
+    if near is None:
+        out = best(plain, ["q"], most)
+    else:  # both ranks in one pass, since a plan that is used twice is computed twice
+        box = F.lit(cfg.local_box_deg)
+        placed = plain.join(near, "q", "left").join(rows.select("id", "lat", "lon"), "id", "left")
+        placed = placed.withColumn("there", F.coalesce(inside("q_lat", "q_lon", box), F.lit(False)))
+        both = placed.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("id"))).withColumn("own", F.row_number().over(Window.partitionBy("q", "there").orderBy("id")))
+        out = both.where((F.col("r") <= most) | (F.col("there") & (F.col("own") <= cfg.local))).select("q", "id")
+        if cities is None:
+            return out
     if cities is not None:
         there = every.join(cities, "q").join(rows.select("id", "lat", "lon", F.col("city_id").alias("own")), "id")
         out = out.unionByName(best(there.where("own = city_id").select("q", "id").distinct(), ["q"], most))
         km = geo.distance_m(F.col("c_lat"), F.col("c_lon"), F.col("lat"), F.col("lon")) / 1000
-        boxed = around(there, "c_lat", "c_lon", F.col("reach_km") / 111.0)
+        boxed = there.where(inside("c_lat", "c_lon", F.col("reach_km") / 111.0))
         # of the box's best only those within the reach, or of a city of the query, are offered
         kept = boxed.withColumn("r", F.row_number().over(Window.partitionBy("q", "city_id").orderBy("id"))).where(F.col("r") <= cfg.local)
         out = out.unionByName(kept.where((km <= F.col("reach_km")) | F.coalesce(F.col("own") == F.col("city_id"), F.lit(False))).select("q", "id"))
-    return out.distinct()
+        out = out.distinct()
+    return out
 
 
 def text_scores(words: DataFrame, found: DataFrame, names: DataFrame, cfg: SearchConfig = SearchConfig()) -> DataFrame:
