@@ -54,32 +54,40 @@ class WordIds:
         parts = [self.words_in(s.lower()) for s in new]
         unknown = list({w for ws in parts for w in ws if w not in self.words})
         if unknown:
-            line = " ".join(w.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.chars) for w in unknown)
-            ids = np.array(self.bare.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(unknown):
-                raise RuntimeError("a word's ids don't end where the word ends")
-            data, a = ids.tobytes(), 0
-            for w, b in zip(unknown, (cuts * 4).tolist(), strict=True):
-                self.words[w] = data[a:b]
-                a = b
+            self.words.update(zip(unknown, self._pieces(unknown), strict=True))
         known = self.words
         for s, ws in zip(new, parts, strict=True):
             self.stretches[s] = b"".join([known[w] for w in ws])
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of words as the splitter gives them, none of which holds a blank."""
+        if not pieces:
+            return []
+        line = " ".join(pieces)
+        if not (line.isascii() and line.isprintable()):  # printable ASCII stands for itself
+            line = " ".join([p if p.isascii() and p.isprintable() else p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.chars) for p in pieces])
+        ids = np.array(self.bare.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+        cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        if len(cuts) != len(pieces):
+            raise RuntimeError("a word's ids don't end where the word ends")
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+
     def fresh(self, words: list[str]) -> list[bytes]:
-        """Ids of words without blanks, none of which is kept."""
-        plain = [(w.isascii() or max(w, default="") < LIMIT) and not _ODD.search(w) and len(w.split()) == 1 for w in words]
-        parts = [self.words_in(w.lower()) if ok else [] for w, ok in zip(words, plain, strict=True)]
-        pieces = list({p for ps in parts for p in ps})
-        known: dict[str, bytes] = {}
-        if pieces:
-            line = " ".join(p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.chars) for p in pieces)
-            ids = np.array(self.bare.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
-            cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
-            data = ids.tobytes()
-            known = {p: data[a:b] for p, a, b in zip(pieces, cuts[:-1], cuts[1:], strict=True)}
-        return [b"".join([known[p] for p in ps]) if ok else np.array(self.whole.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w, ps, ok in zip(words, parts, plain, strict=True)]
+        """Ids of distinct words without blanks, none of which is kept."""
+        parts: list[list[str] | None] = []
+        for w in words:
+            if w.isascii():
+                if w.isalpha():
+                    parts.append([w.lower()])
+                    continue
+            elif max(w) >= LIMIT:
+                parts.append(None)
+                continue
+            parts.append(self.words_in(w.lower()) if not _ODD.search(w) and len(w.split()) == 1 else None)
+        pieces = list({p for ps in parts if ps for p in ps})
+        known = dict(zip(pieces, self._pieces(pieces), strict=True))
+        return [(known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])) if ps is not None else np.array(self.whole.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w, ps in zip(words, parts, strict=True)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; what has been learnt is dropped when it is much, and always for long words."""
