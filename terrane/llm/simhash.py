@@ -12,8 +12,9 @@ Variants travel as arrays of 8 bytes and a 2-byte number of the flipped bits, de
 number follows the number of distinct fingerprints.
 
 Defined cases: a null or empty text, or one of blanks, has fingerprint zero and is linked like any
-other; fewer than three words count as one shingle; a null id is kept and never names a component
-unless all its ids are null; repeated rows each get a row; an empty table gives an empty result.
+other; fewer than three words count as one shingle; long texts are hashed whole; a null id is kept and
+never names a component unless all its ids are null; of equal ids any names it; repeated rows each get
+a row; a kept column that has the name of a result gives way to it; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,14 +28,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, saved
+from .common import map_arrow, map_texts, partitions, passed, quoted, saved
 from .components import components
 
 SEED = 42
 #: Variants in a bucket, about.
-BUCKET = 500_000
-#: Variants a task gathers before it hands them on.
-FLUSH = 4_000_000
+BUCKET = 100_000
+#: Variants a task makes before it hands them on.
+FLUSH = 300_000
+#: Fingerprints that a task deals, about; each makes several hundred variants.
+DEALT = 8_000
 
 _BIT = [1 << i for i in range(64)]
 #: What flips: nothing, one bit, two bits of one half.
@@ -82,31 +85,34 @@ def simhashes(texts: list[str | None], n: int = 3) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", n: int = 3) -> DataFrame:
     """keep's columns and fp, the fingerprint as a signed long."""
-    kept = docs.select(*keep, F.col(text).alias("_text"))
-    names = list(keep)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]), "fp long"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = simhashes(batch.column("_text").to_pylist(), n)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(fps.view(np.int64), pa.int64())], names=[*names, "fp"])
-
-    return map_arrow(kept, run, schema)
+    return map_texts(docs, lambda: lambda texts: ([pa.array(simhashes(texts, n).view(np.int64), pa.int64())], None), "fp long", keep, text)
 
 
 def _deal(fps: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
     """(bucket, variants, numbers of their masks) of some fingerprints."""
     odd = (np.bitwise_count(fps) & 1).astype(bool)
     even, odd = fps[~odd], fps[odd]
-    v = np.concatenate([(even[:, None] ^ MASKS).ravel(), (odd[:, None] ^ MASKS[_ONE]).ravel()])
-    k = np.concatenate([np.tile(np.arange(len(MASKS), dtype=np.uint16), len(even)), np.tile(np.arange(1, 65, dtype=np.uint16), len(odd))])
-    mixed = (v ^ (v >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    bucket = ((mixed >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    v = np.empty(len(even) * len(MASKS) + len(odd) * 64, np.uint64)
+    k = np.empty(len(v), np.uint16)
+    cut = len(even) * len(MASKS)
+    np.bitwise_xor(even[:, None], MASKS, out=v[:cut].reshape(len(even), -1))
+    np.bitwise_xor(odd[:, None], MASKS[_ONE], out=v[cut:].reshape(len(odd), -1))
+    k[:cut].reshape(len(even), -1)[:] = np.arange(len(MASKS))
+    k[cut:].reshape(len(odd), -1)[:] = np.arange(1, 65)
+    mixed = v >> np.uint64(31)
+    mixed ^= v
+    mixed *= np.uint64(0x9E3779B97F4A7C15)
+    mixed >>= np.uint64(32)
+    mixed *= np.uint64(buckets)
+    mixed >>= np.uint64(32)
+    bucket = mixed.astype(np.int32)
+    del mixed
     order = np.argsort(bucket, kind="stable")
-    v, k, bucket = v[order], k[order], bucket[order]
+    bucket = bucket[order]
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(v)], strict=True):
-        yield int(bucket[a]), v[a:b].tobytes(), k[a:b].tobytes()
+        own = order[a:b]
+        yield int(bucket[a]), v[own].tobytes(), k[own].tobytes()
 
 
 def _meet(v: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,37 +143,44 @@ def links(fps: DataFrame, count: int) -> DataFrame:
     at_once = max(1, FLUSH // len(MASKS))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[int, bytes, bytes]] = []
+        size = 0
 
-        def out() -> Iterator[pa.RecordBatch]:
-            rows = list(_deal(np.concatenate(held), buckets))
+        def out() -> pa.RecordBatch:
+            cols = list(zip(*held, strict=True))
             held.clear()
-            for i in range(0, len(rows), 256):
-                cols = list(zip(*rows[i : i + 256], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())], names=["bucket", "v", "k"])
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())], names=["bucket", "v", "k"])
 
         for batch in batches:
             column = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             for i in range(0, len(column), at_once):
-                held.append(column[i : i + at_once])
-                if sum(map(len, held)) >= at_once:
-                    yield from out()
+                for row in _deal(column[i : i + at_once], buckets):
+                    held.append(row)
+                    size += len(row[1]) + len(row[2])
+                    if size > 1_000_000:
+                        yield out()
+                        size = 0
         if held:
-            yield from out()
+            yield out()
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = _meet(np.frombuffer(b"".join(pdf["v"]), np.uint64), np.frombuffer(b"".join(pdf["k"]), np.uint16))
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return map_arrow(fps.select("fp"), deal, "bucket long, v binary, k binary").groupBy("bucket").applyInPandas(meet, "a long, b long").distinct()
+    # a fingerprint grows several hundredfold, so they are spread by their number, not by their bytes
+    spread = fps.select("fp").repartition(max(1, min(partitions(fps), -(-count // DEALT))), "fp")
+    return map_arrow(spread, deal, "bucket long, v binary, k binary").groupBy("bucket").applyInPandas(meet, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", keep: tuple[str, ...] = (), text: str = "text", n: int = 3) -> DataFrame:
     """key, keep's columns, fingerprint (hex) and component_id, the smallest key reachable."""
-    rows = saved(fingerprints(docs, (key, *keep), text, n))
-    fps = saved(rows.groupBy("fp").agg(F.min(key).alias("least")))
+    own = [key, *passed((c for c in keep if c != key), ("fingerprint", "component_id"))]
+    held = docs.select(F.struct(*[F.col(quoted(c)) for c in own]).alias("own"), F.col(quoted(text)).alias("text"))
+    rows = saved(fingerprints(held, ("own",), "text", n))
+    least = F.col(f"own.{quoted(key)}")
+    fps = saved(rows.groupBy("fp").agg(F.min(least).alias("least")))
     label = components(links(fps, fps.count())).select(F.col("node").alias("fp"), "label")
     named = fps.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     whole = named.groupBy("label").agg(F.min("least").alias("component_id"))
     ids = saved(named.join(whole, "label").select("fp", "component_id"))
-    return rows.join(ids, "fp").select(key, *keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return rows.join(ids, "fp").select("own.*", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
