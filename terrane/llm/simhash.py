@@ -36,8 +36,10 @@ SEED = 42
 BUCKET = 100_000
 #: Variants a task makes before it hands them on.
 FLUSH = 300_000
-#: Fingerprints that a task deals, about; each makes several hundred variants.
-DEALT = 8_000
+#: Fingerprints that a task deals, about; each makes several hundred variants of 10 bytes.
+DEALT = 4_000
+#: Bytes of variants that a task gathers by bucket before it hands them on.
+GATHER = 32_000_000
 
 _BIT = [1 << i for i in range(64)]
 #: What flips: nothing, one bit, two bits of one half.
@@ -143,25 +145,32 @@ def links(fps: DataFrame, count: int) -> DataFrame:
     at_once = max(1, FLUSH // len(MASKS))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, bytes, bytes]] = []
+        held: dict[int, tuple[list[bytes], list[bytes]]] = {}
         size = 0
 
-        def out() -> pa.RecordBatch:
-            cols = list(zip(*held, strict=True))
+        def out() -> Iterator[pa.RecordBatch]:
+            own, part = list(held.items()), []
+            for i, (bucket, (v, k)) in enumerate(own, 1):
+                part.append((bucket, b"".join(v), b"".join(k)))
+                if len(part) >= 64 or i == len(own):
+                    cols = list(zip(*part, strict=True))
+                    part = []
+                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())], names=["bucket", "v", "k"])
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())], names=["bucket", "v", "k"])
 
         for batch in batches:
             column = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             for i in range(0, len(column), at_once):
-                for row in _deal(column[i : i + at_once], buckets):
-                    held.append(row)
-                    size += len(row[1]) + len(row[2])
-                    if size > 1_000_000:
-                        yield out()
-                        size = 0
+                for bucket, v, k in _deal(column[i : i + at_once], buckets):
+                    lists = held.setdefault(bucket, ([], []))
+                    lists[0].append(v)
+                    lists[1].append(k)
+                    size += len(v) + len(k) + 150
+                if size > GATHER:
+                    yield from out()
+                    size = 0
         if held:
-            yield out()
+            yield from out()
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = _meet(np.frombuffer(b"".join(pdf["v"]), np.uint64), np.frombuffer(b"".join(pdf["k"]), np.uint16))
