@@ -6,7 +6,9 @@ leave the two side by side, which is decided by undoing their merges and is memo
 the last token is shortened. Places that no valid encoding reaches are marked, so none is tried twice.
 
 Defined cases: a null text counts as empty and has no ids; a piece that is itself a token is that
-token; special tokens don't exist, their strings are ordinary text; repeated rows each get a result.
+token; special tokens don't exist, their strings are ordinary text; repeated rows each get a result;
+long texts are taken whole; a kept column that has the name of a result gives way to it; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -15,17 +17,14 @@ import base64
 import hashlib
 import re
 import unicodedata
-from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
 import numpy as np
-import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import columns_of, map_texts
 
 #: Up to here letters, digits and blanks are listed in a character class of the standard library's re.
 PLAIN = 0x250
@@ -187,12 +186,12 @@ def decode(ids: bytes, path: str, pattern: str) -> bytes:
 
 def encoded(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """keep's columns and ids, a binary of little-endian unsigned 32-bit integers."""
-    return _mapped(docs, keep, text, "ids binary", [pa.binary()], lambda t: (encode(t, path, pattern),))
+    return _mapped(docs, keep, text, "ids binary", lambda t: (encode(t, path, pattern),))
 
 
 def decoded(rows: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), ids: str = "ids") -> DataFrame:
     """keep's columns and bytes, what the ids stand for."""
-    return _mapped(rows, keep, ids, "bytes binary", [pa.binary()], lambda b: (decode(b or b"", path, pattern),))
+    return _mapped(rows, keep, ids, "bytes binary", lambda b: (decode(b or b"", path, pattern),))
 
 
 def digests(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -202,18 +201,13 @@ def digests(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("
         ids = encode(t, path, pattern)
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode(ids, path, pattern)).hexdigest()
 
-    return _mapped(docs, keep, text, "n_tokens long, ids_sha256 string, decoded_sha256 string", [pa.int64(), pa.string(), pa.string()], both)
+    return _mapped(docs, keep, text, "n_tokens long, ids_sha256 string, decoded_sha256 string", both)
 
 
-def _mapped(df: DataFrame, keep: tuple[str, ...], column: str, adds: str, kinds: list[pa.DataType], f) -> DataFrame:
-    kept = df.select(*keep, F.col(column).alias("_in"))
-    names, new = list(keep), [x.split()[0] for x in adds.split(", ")]
-    schema = ", ".join([f"`{x.name}` {x.dataType.simpleString()}" for x in kept.schema.fields[:-1]] + [adds])
+def _mapped(df: DataFrame, keep: tuple[str, ...], column: str, adds: str, f) -> DataFrame:
+    n = len(adds.split(", "))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [f(x) for x in batch.column("_in").to_pylist()]
-            cols = list(zip(*got, strict=True)) if got else [[] for _ in new]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=[*names, *new])
+    def make():
+        return lambda values: (columns_of([f(x) for x in values], n), None)
 
-    return map_arrow(kept, run, schema)
+    return map_texts(df, make, adds, keep, column)

@@ -7,22 +7,20 @@ residuals, with partitions and escapes, in step across frames; and undoes the pr
 
 Defined cases: a null or empty text has a payload of padding only; a stream that isn't FLAC, isn't mono,
 or fails a checksum raises ValueError in `decode` and gives null samples with the reason in the column
-functions; repeated rows each get a result.
+functions, and no blocks; long texts are coded whole; repeated rows each get a result; a kept column that
+has the name of a result gives way to it; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import map_arrow, slices
+from .common import columns_of, map_texts, slices
 
 BLOCK = 576
 PAD = 255
@@ -452,24 +450,17 @@ def features(samples: list[np.ndarray]) -> list[str]:
     return out
 
 
-def _schema(df: DataFrame, last: int, adds: str) -> str:
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-last]), adds])
-
-
 def encoded(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """keep's columns, n_bytes, and media: the text's payload as a FLAC stream."""
-    kept = docs.select(*keep, F.col(text).alias("_text"))
-    names = list(keep)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            for a, b in slices(texts, 1_500_000):
-                own = [batch.column(c).slice(a, b - a) for c in names]
-                sizes = [len((t or "").encode("utf-8", "surrogatepass")) for t in texts[a:b]]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(sizes, pa.int64()), pa.array(encode_streams([payload(t) for t in texts[a:b]]), pa.binary())], names=[*names, "n_bytes", "media"])
+    def each(texts: list) -> tuple[list, None]:
+        sizes, media = [], []
+        for a, b in slices(texts, 1_500_000):
+            sizes += [len((t or "").encode("utf-8", "surrogatepass")) for t in texts[a:b]]
+            media += encode_streams([payload(t) for t in texts[a:b]])
+        return [sizes, media], None
 
-    return map_arrow(kept, run, _schema(kept, 1, "n_bytes long, media binary"))
+    return map_texts(docs, lambda: each, "n_bytes long, media binary", keep, text)
 
 
 def _tolerant(streams: list[bytes | None]) -> list[tuple[np.ndarray | None, str | None]]:
@@ -483,46 +474,32 @@ def _tolerant(streams: list[bytes | None]) -> list[tuple[np.ndarray | None, str
 
 def read_back(rows: DataFrame, keep: tuple[str, ...] = ("doc_id", "n_bytes"), media: str = "media") -> DataFrame:
     """keep's columns, and what decoding gives: sizes and hashes of the 8-bit payload and of the stream, features, error."""
-    kept = rows.select(*keep, F.col(media).alias("_media"))
-    names, adds = list(keep), "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            media = batch.column("_media").to_pylist()
-            got = []
-            for a, b in slices(media, 1_500_000):
-                got += _tolerant(media[a:b])
-            raw = [None if x is None else (x + 128).astype(np.uint8).tobytes() for x, _ in got]
-            feats = [None if x is None else features([x])[0] for x, _ in got]
-            sha = lambda xs: [None if x is None else hashlib.sha256(x).hexdigest() for x in xs]
-            cols = [
-                pa.array([None if x is None else len(x) for x in raw], pa.int64()), pa.array(sha(raw), pa.string()), pa.array([None if x is None else zlib.crc32(x[-32:]) for x in raw], pa.int64()),
-                pa.array([None if x is None else len(x) for x in media], pa.int64()), pa.array(sha(media), pa.string()), pa.array(feats, pa.string()), pa.array([e for _, e in got], pa.string()),
-            ]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *cols], names=[*names, *(x.split()[0] for x in adds.split(", "))])
-
-    return map_arrow(kept, run, _schema(kept, 1, adds))
+    sha = lambda xs: [None if x is None else hashlib.sha256(x).hexdigest() for x in xs]
+
+    def each(streams: list) -> tuple[list, None]:
+        got = [x for a, b in slices(streams, 1_500_000) for x in _tolerant(streams[a:b])]
+        raw = [None if x is None else (x + 128).astype(np.uint8).tobytes() for x, _ in got]
+        feats = [None if x is None else features([x])[0] for x, _ in got]
+        return [[None if x is None else len(x) for x in raw], sha(raw), [None if x is None else zlib.crc32(x[-32:]) for x in raw], [None if x is None else len(x) for x in streams], sha(streams), feats, [e for _, e in got]], None
+
+    return map_texts(rows, lambda: each, "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string", keep, media)
 
 
 def pcm_blocks(rows: DataFrame, keep: tuple[str, ...] = ("doc_id",), media: str = "media", block: int = 4096) -> DataFrame:
     """keep's columns and a row for each block of PCM: block, sample_offset, n_samples, pcm (signed, as wide as samples are)."""
-    kept = rows.select(*keep, F.col(media).alias("_media"))
-    names = list(keep)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            media = batch.column("_media").to_pylist()
-            owner, number, offset, count, pcm = [], [], [], [], []
-            for i, data in enumerate(media):
-                samples, _ = _tolerant([data])[0]
-                if samples is None:
-                    continue
-                width = -(-_parse(data)[0]["bits"] // 8)
-                raw = samples.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :width]
-                for k, a in enumerate(range(0, len(samples), block)):
-                    own = raw[a : a + block]
-                    owner.append(i), number.append(k), offset.append(a), count.append(len(own)), pcm.append(own.tobytes())
-            own = [batch.column(c).take(pa.array(owner, pa.int64())) for c in names]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(number, pa.int32()), pa.array(offset, pa.int64()), pa.array(count, pa.int32()), pa.array(pcm, pa.binary())], names=[*names, "block", "sample_offset", "n_samples", "pcm"])
-
-    return map_arrow(kept, run, _schema(kept, 1, "block int, sample_offset long, n_samples int, pcm binary"))
+
+    def each(streams: list) -> tuple[list, list[int]]:
+        found, owner = [], []
+        for i, data in enumerate(streams):
+            samples, _ = _tolerant([data])[0]
+            if samples is None:
+                continue
+            width = -(-_parse(data)[0]["bits"] // 8)
+            raw = samples.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :width]
+            for k, a in enumerate(range(0, len(samples), block)):
+                own = raw[a : a + block]
+                owner.append(i)
+                found.append((k, a, len(own), own.tobytes()))
+        return columns_of(found, 4), owner
+
+    return map_texts(rows, lambda: each, "block int, sample_offset long, n_samples int, pcm binary", keep, media)

@@ -2,10 +2,13 @@
 
 Each language has a smoothed model of letter trigrams within words (hashed to SLOTS), counted over
 every training row. A document is cut into segments of a few words; EM finds the share of each
-language, and the nested sets of the largest shares compete by log-likelihood less a BIC penalty.
+language, and the nested sets of the largest shares compete by log-likelihood, each with the shares that
+EM finds for that set alone, less a BIC penalty.
 
-Defined cases: a null text, or one without a letter, is `und` with score 0; without training rows all
-are `und`; equal shares go to the language first in order; repeated rows each get their own result.
+Defined cases: a null or empty text, or one without a letter, is `und` with score 0; a long text is read
+whole; without training rows all are `und`; equal shares go to the language first in order; repeated rows
+each get their own result; a kept column that has the name of a result gives way to it; an empty table
+gives an empty result, and as training rows a model that knows no language.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, slices
+from .common import columns_of, map_arrow, map_texts, quoted, slices
 
 SLOTS = 1 << 15
 #: Words of a segment, whose language is taken to be one.
@@ -78,7 +81,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["l", "slot", "n"])
 
-    rows = docs.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l")).where("t is not null and l is not null")
+    rows = docs.select(F.col(quoted(text)).alias("t"), F.col(quoted(lang)).cast("string").alias("l")).where("t is not null and l is not null")
     found = map_arrow(rows, run, "l string, slot int, n long").groupBy("l", "slot").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(found.column("l").to_pylist()))
     table = np.zeros((SLOTS, len(names)))
@@ -122,7 +125,7 @@ def mixtures(texts: list[str], model: Model, penalty: float = 1.0) -> list[tuple
         if not active.any():
             break
     order = np.argsort(-share, axis=1, kind="stable")
-    best, count = np.full(len(docs), -np.inf), np.ones(len(docs), int)
+    best, count, shown = np.full(len(docs), -np.inf), np.ones(len(docs), int), share.copy()
     for n in range(1, k + 1):
         if n > 1 and not (np.take_along_axis(share, order[:, n - 1 : n], 1) > 1e-12).any():
             break  # more languages add nothing but the penalty
@@ -130,28 +133,30 @@ def mixtures(texts: list[str], model: Model, penalty: float = 1.0) -> list[tuple
         np.put_along_axis(mask, order[:, :n], 1.0, 1)
         part = share * mask
         part /= np.maximum(part.sum(1, keepdims=True), 1e-12)
+        for _ in range(ROUNDS // 2 if 1 < n < k else 0):  # EM on this set alone; one language has nothing to share, all have been through it
+            r = part[whose] * e
+            r /= np.maximum(r.sum(1, keepdims=True), 1e-300)
+            part = np.add.reduceat(r, head, axis=0) / size[:, None]
         ll = np.add.reduceat(np.log(np.maximum((part[whose] * e).sum(1), 1e-30)) + top[:, 0], head)
         value = ll - penalty * 0.5 * (2 * n - 1) * np.log(size + 1.0)
         better = value > best + 1e-9
         best[better], count[better] = value[better], n
+        shown[better] = part[better]
     for i, d in enumerate(docs):
         chosen = order[i, : count[i]]
-        p = share[i, chosen] / share[i, chosen].sum()
+        p = shown[i, chosen] / shown[i, chosen].sum()
         out[d] = (model.langs[chosen[0]], float(min(1.0, share[i, chosen[0]])), ",".join(f"{model.langs[j]}:{x:.3f}" for j, x in zip(chosen, p, strict=True)), int(size[i]))
     return out
 
 
 def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text", penalty: float = 1.0) -> DataFrame:
     """keep's columns, lang_pred, score (the language's share), mixture and n_segments."""
-    kept = docs.select(*keep, F.col(text).alias("_text"))
-    names = list(keep)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column("_text").to_pylist()]
-            got = [x for a, b in slices(texts, 400_000) for x in mixtures(texts[a:b], model, penalty)]
-            cols = list(zip(*got, strict=True)) if got else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int32())], names=[*names, "lang_pred", "score", "mixture", "n_segments"])
+    def make():
+        def each(raw: list) -> tuple[list, None]:
+            texts = [t or "" for t in raw]
+            return columns_of([x for a, b in slices(texts, 400_000) for x in mixtures(texts[a:b], model, penalty)], 4), None
+
+        return each
 
-    return map_arrow(kept, run, f"{kinds}{', ' if kinds else ''}lang_pred string, score double, mixture string, n_segments int")
+    return map_texts(docs, make, "lang_pred string, score double, mixture string, n_segments int", keep, text)

@@ -9,22 +9,21 @@ The others are dealt by a hash to groups of about GROUP_TOKENS, so the number of
 data, and a group's last sequences are all that packing apart can cost (under 0.1 % of sequences).
 
 Defined cases: a null or empty text is one piece that holds only the end id; equal lengths go in order
-of key and piece; repeated rows are packed each; an empty table gives an empty result.
+of key and piece, a null key last; repeated rows are packed each; long texts are cut into pieces and lose
+nothing; a kept column that has the name of a result gives way to it; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, saved, slices
+from .common import columns_of, fresh, map_texts, passed, prepare, quoted, saved, slices
 from .wordids import tool
 
 GROUP_TOKENS = 4_000_000
@@ -79,49 +78,45 @@ def best_fit(lengths: np.ndarray, limits: Limits) -> tuple[np.ndarray, np.ndarra
 
 def pieces(docs: DataFrame, path: str, end: int = 1, most: int = 4096, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """keep's columns and a row for each piece: piece, start, length, ids_crc32. Only longer documents are cut."""
-    kept = docs.select(*keep, F.col(text).alias("_text"))
-    names = list(keep)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]), "piece int, start long, length long, ids_crc32 long"])
     last = np.array([end], "<u4").tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         encode = tool(path)
-        for batch in batches:
-            texts = [t or "" for t in batch.column("_text").to_pylist()]
-            rows, piece, start, length, crc = [], [], [], [], []
+
+        def each(raw: list) -> tuple[list, list[int]]:
+            texts = [t or "" for t in raw]
+            rows, at = [], []
             for a, b in slices(texts):
                 for i, ids in enumerate(encode(texts[a:b]), a):
                     ids += last
                     for k in range(0, len(ids), 4 * most):
                         part = ids[k : k + 4 * most]
-                        rows.append(i)
-                        piece.append(k // (4 * most))
-                        start.append(k // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-            own = [batch.column(c).take(pa.array(rows, pa.int64())) for c in names]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=[*names, "piece", "start", "length", "ids_crc32"])
+                        at.append(i)
+                        rows.append((k // (4 * most), k // 4, len(part) // 4, zlib.crc32(part)))
+            return columns_of(rows, 4), at
+
+        return each
 
-    return map_arrow(kept, run, schema)
+    return map_texts(docs, make, "piece int, start long, length long, ids_crc32 long", keep, text)
 
 
 def pack(rows: DataFrame, limits: Limits = Limits(), order: tuple[str, ...] = ("doc_id", "piece"), group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """rows (with a column length) with sequence_id and offset."""
-    rows = saved(rows)
+    prepare(rows.sparkSession)
+    rows = saved(rows.select(*[F.col(quoted(c)) for c in passed(rows.columns, ("sequence_id", "offset"))]))
     partial = rows.where(F.col("length") < limits.tokens)
     total = partial.agg(F.sum("length")).first()[0] or 0
     groups = max(1, -(-total // group_tokens))
-    names = rows.columns
+    names, group = rows.columns, fresh(rows.columns, "_group")
     single = rows.where(F.col("length") >= limits.tokens).withColumn("sequence_id", -F.monotonically_increasing_id() - 1).withColumn("offset", F.lit(0).cast("long"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", *order], ascending=[False] + [True] * len(order), kind="stable")
         sequence, offset = best_fit(pdf["length"].to_numpy(np.int64), limits)
         out = pdf[names].copy()
-        out["sequence_id"] = pdf["_group"].to_numpy(np.int64) * (1 << 32) + sequence
+        out["sequence_id"] = pdf[group].to_numpy(np.int64) * (1 << 32) + sequence
         out["offset"] = offset
         return out
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in single.schema.fields)
-    dealt = partial.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
-    return single.unionByName(dealt.groupBy("_group").applyInPandas(run, schema))
+    dealt = partial.withColumn(group, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
+    return single.unionByName(dealt.groupBy(group).applyInPandas(run, single.schema))

@@ -11,7 +11,9 @@ still free, by rank. Where a format has no room for all its entities, an error i
 
 Defined cases: a null text stays null with no entities, an empty one stays empty; of overlapping
 findings the first in the order of KINDS wins; repeated rows each get a result; an empty table gives an
-empty result. A null key is kept.
+empty result; a null id is kept; long texts are read whole, in time that grows as they do; a kept column
+that has the name of a result gives way to it. An address outside the reserved domains gets one under
+`.example`, so that it can't be anybody's: there its length changes, its form doesn't.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, saved
+from .common import columns_of, fresh, map_arrow, map_texts, passed, quoted, saved
 
 KINDS = ("email", "ipv4", "iban", "card", "ssn", "phone", "name")
 #: At most so many entities with another draw are told to all tasks; more of them are joined to the rows.
@@ -70,8 +72,11 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
         return []
     taken: list[tuple[int, int, str, str]] = []
 
+    covered = bytearray(len(text))
+
     def add(a: int, b: int, kind: str, normal: str) -> None:
-        if all(b <= x or a >= y for x, y, _, _ in taken):
+        if covered.find(1, a, b) < 0:
+            covered[a:b] = b"\x01" * (b - a)
             taken.append((a, b, kind, normal))
 
     if "@" in text:
@@ -89,7 +94,7 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
             for m in pattern.finditer(text):
                 normal = re.sub(r"\D", "", m.group())
                 if kind != "phone" or 9 <= len(normal) <= 15:
-                    add(*m.span(), kind, ("+" if kind == "phone" and m.group().startswith("+") else "") + normal)
+                    add(*m.span(), kind, normal)
     if any(t in text for t in _GENDER):
         people: dict[str, str] = {}
         for m in _NAME.finditer(text):
@@ -98,9 +103,9 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
                 word = w.group()
                 people.setdefault(word, gender)
                 add(m.start(2) + w.start(), m.start(2) + w.end(), "name", f"{people[word]}:{word.lower()}")
-        for word, gender in people.items() if people else ():  # later mentions without a form of address
-            for m in re.finditer(rf"(?<!\w){re.escape(word)}(?!\w)", text):
-                add(*m.span(), "name", f"{gender}:{word.lower()}")
+        for m in re.finditer(r"\w+", text) if people else ():  # later mentions without a form of address
+            if gender := people.get(m.group()):
+                add(*m.span(), "name", f"{gender}:{m.group().lower()}")
     return sorted(taken)
 
 
@@ -182,8 +187,8 @@ class Surrogates:
             body = self.letters(entity[4:].lower(), f"{tweak}/{entity[:2]}").upper()
             rest = int("".join(str(int(c, 36)) for c in body + entity[:2]) + "00") % 97
             return f"{entity[:2]}{98 - rest:02d}{body}"
-        if kind == "phone" and entity[0] == "+":
-            lead = 2 if entity[1] in "17" else 3
+        if kind == "phone" and len(entity) > 10:  # with a country's number, which stays, however it was written
+            lead = 1 if entity[0] in "17" else 2
             return entity[:lead] + self.digits(entity[lead:], f"{tweak}/{entity[:lead]}")
         if kind in ("phone", "ssn"):
             return self.digits(entity, tweak)
@@ -208,7 +213,7 @@ class Surrogates:
             return "".join(c.upper() if i < len(surface) and surface[i].isupper() else c for i, c in enumerate(new))
         if kind == "ipv4":
             return new
-        chars = iter(new.lstrip("+") if kind == "phone" else new)
+        chars = iter(new)
         return "".join(next(chars, "") if c.isalnum() else c for c in surface)
 
     def replaced(self, text: str | None, found: list[tuple[int, int, str, str]]) -> str | None:
@@ -230,7 +235,7 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in seen]), pa.array([e for _, e in seen])], names=["kind", "entity"])
 
-    return map_arrow(docs.select(F.col(text).alias("_text")), run, "kind string, entity string").distinct()
+    return map_arrow(docs.select(F.col(quoted(text)).alias("_text")), run, "kind string, entity string").distinct()
 
 
 def collisions(known: DataFrame, key: bytes) -> DataFrame:
@@ -303,33 +308,37 @@ def replace(docs: DataFrame, key: bytes, keep: tuple[str, ...] = ("doc_id",), te
     """keep's columns, text with surrogates, n_entities and spans (kind:start:end in the original)."""
     again = collisions(entities(docs, text) if known is None else known, key)
     told = again.limit(MOST_TOLD + 1).collect()
-    kept = docs.select(*keep, F.col(text).alias("_text"))
+    own = passed(keep, ("text", "n_entities", "spans"))
+    held, draws = fresh(own, "_held"), {(r.kind, r.entity): r.draw for r in told}
     if len(told) > MOST_TOLD:
-        kept = _with_draws(kept, again)
-        draws: dict[tuple[str, str], int] = {}
-    else:
-        kept = kept.withColumn("_draws", F.lit(None).cast("array<struct<kind:string,entity:string,draw:int>>"))
-        draws = {(r.kind, r.entity): r.draw for r in told}
-    names = list(keep)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-2]), "text string, n_entities int, spans string"])
+        draws = {}
+    value, more = F.col(quoted(text)), F.lit(None).cast(_DRAWS)
+    kept = docs.select(F.struct(*[F.col(quoted(c)) for c in own]).alias("own"), value.alias("text")) if own else docs.select(F.struct(F.lit(0)).alias("own"), value.alias("text"))
+    kept = _with_draws(kept, again) if len(told) > MOST_TOLD else kept.withColumn("draws", more)
+    kept = kept.select("own", F.struct("text", "draws").alias(held))
+
+    def make():
+        whole = Surrogates(key, draws)
+
+        def each(rows: list) -> tuple[list, None]:
+            out = []
+            for r in rows:
+                by = Surrogates(key, {(x["kind"], x["entity"]): x["draw"] for x in r["draws"]}) if r["draws"] else whole
+                found = find(r["text"])
+                out.append((by.replaced(r["text"], found), len(found), ",".join(f"{k}:{a}:{b}" for a, b, k, _ in found)))
+            return columns_of(out, 3), None
+
+        return each
+
+    out = map_texts(kept, make, "text string, n_entities int, spans string", ("own",), held)
+    return out.select(*[F.col(f"own.{quoted(c)}") for c in own], "text", "n_entities", "spans")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = Surrogates(key, draws)
-        for batch in batches:
-            new, count, spans = [], [], []
-            for t, more in zip(batch.column("_text").to_pylist(), batch.column("_draws").to_pylist(), strict=True):
-                own = Surrogates(key, {(x["kind"], x["entity"]): x["draw"] for x in more}) if more else make
-                found = find(t)
-                new.append(own.replaced(t, found))
-                count.append(len(found))
-                spans.append(",".join(f"{k}:{a}:{b}" for a, b, k, _ in found))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(new, pa.string()), pa.array(count, pa.int32()), pa.array(spans, pa.string())], names=[*names, "text", "n_entities", "spans"])
 
-    return map_arrow(kept, run, schema)
+_DRAWS = "array<struct<kind:string,entity:string,draw:int>>"
 
 
 def _with_draws(rows: DataFrame, again: DataFrame) -> DataFrame:
-    """rows with _draws: the other draws that entities of the text need, joined by the text's hash."""
+    """rows (own, text) with draws: the other draws that entities of the text need, joined by the text's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,10 +346,10 @@ def _with_draws(rows: DataFrame, again: DataFrame) -> DataFrame:
             cols = list(zip(*seen, strict=True)) if seen else [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.string()), strict=True)], names=["h", "kind", "entity"])
 
-    hashed = rows.withColumn("_h", F.sha2(F.col("_text"), 256))
-    mentions = map_arrow(hashed.select(F.col("_h").alias("h"), F.col("_text").alias("t")), run, "h string, kind string, entity string").distinct()
-    lists = mentions.join(again, ["kind", "entity"]).groupBy("h").agg(F.collect_list(F.struct("kind", "entity", "draw")).alias("_draws"))
-    return hashed.join(lists, hashed["_h"] == lists["h"], "left").drop("_h", "h")
+    hashed = rows.withColumn("h", F.sha2(F.col("text"), 256))
+    mentions = map_arrow(hashed.select("h", F.col("text").alias("t")), run, "h string, kind string, entity string").distinct()
+    lists = mentions.join(again, ["kind", "entity"]).groupBy("h").agg(F.collect_list(F.struct("kind", "entity", "draw")).alias("draws"))  # as many as a text has mentions
+    return hashed.join(lists, "h", "left").drop("h")
 
 
 def key_of(secret: str) -> bytes:

@@ -4,9 +4,15 @@ A document is a bag of sentences. A sentence's probability is a logistic functio
 its words and word starts; the document's is 1 - prod(1 - p). Only document labels are learned from,
 and the sentence probabilities then say where the offence is.
 
+A sentence's features are a set: a word that is said twice in it counts once, in training as in scoring.
+A stretch without a sentence end is cut after WINDOW pieces, so that a long text without full stops is
+still located; no word is left out.
+
 Defined cases: a null or empty text has no sentence, so its score is 0; no usable label, or labels of
 one class only, gives a model without weights, whose score is 0 for all; repeated rows each get their
-own result; other columns pass through `score` only if named in `keep`.
+own result, and of repeated labels one counts; ties of the sample's hash go by the key; other columns pass
+through `score` only if named in `keep`, and one that has the name of a result gives way to it; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,11 +22,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, prepare
+from .common import columns_of, map_texts, prepare, quoted
 
 #: A sentence ends at a full stop, mark or line end.
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -56,16 +61,15 @@ class Model:
     weights: dict[str, float] = field(default_factory=dict)
 
 
-class _Scores(dict):
-    """What a piece between blanks adds to its sentence; filled as pieces are met, and emptied when full."""
+class _Known(dict):
+    """The features with a weight of each piece between blanks; filled as pieces are met, and emptied when full."""
 
     def __init__(self, model: Model, most: int = 400_000):
         super().__init__()
         self.weights, self.most = model.weights, most
 
-    def __missing__(self, piece: str) -> float:
-        w = self.weights
-        value = sum(w.get(f, 0.0) for word in WORD.findall(piece) for f in features(word))
+    def __missing__(self, piece: str) -> tuple[str, ...]:
+        value = tuple({f for word in WORD.findall(piece) for f in features(word) if f in self.weights})
         if len(self) >= self.most:
             self.clear()
         self[piece] = value
@@ -124,14 +128,15 @@ def fit(texts: list[str], labels: list[int], epochs: int = 120, rate: float = 0.
     return Model(float(b), {f: float(w[i]) for f, i in index.items() if w[i]})
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 3000, text: str = "text", key: str = "doc_id", label: str = "toxic") -> Model:
+def train(docs: DataFrame, labels: DataFrame, most: int = 3000, text: str = "text", key: str = "doc_id", label: str = "toxic", most_chars: int = 30_000_000) -> Model:
     """Fits on at most `most` labelled documents, half of each class where there are enough.
 
     The sample is those with the smallest hash of the key, so it doesn't depend on the order of rows.
-    Only its keys are broadcast, `most` of them, and only its texts come to the driver.
+    Only its keys are broadcast, `most` of them, and only its texts come to the driver, as many in the
+    order of the hash as have `most_chars` characters together (the first one in any case).
     """
     prepare(docs.sparkSession)
-    known = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).where("_k is not null and _y in (0, 1)").dropDuplicates(["_k"])
+    known = labels.select(F.col(quoted(key)).alias("_k"), F.col(quoted(label)).cast("int").alias("_y")).where("_k is not null and _y in (0, 1)").dropDuplicates(["_k"])
     sizes = {r._y: r.n for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     hashed = known.withColumn("_h", F.pmod(F.xxhash64("_k"), F.lit(1 << 30)))
 
@@ -141,31 +146,33 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 3000, text: str = "tex
         return hashed.where((F.col("_y") == label) & (F.col("_h") < int(bound * (1 << 30)))).orderBy("_h", "_k").limit(most // 2).drop("_h")
 
     sample = F.broadcast(pick(0).unionByName(pick(1)))
-    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(sample, "_k").orderBy(F.xxhash64("_k"), "_k").select("_t", "_y").limit(most).collect()
+    found = docs.select(F.col(quoted(key)).alias("_k"), F.col(quoted(text)).alias("_t")).join(sample, "_k").withColumn("_h", F.xxhash64("_k")).orderBy("_h", "_k").limit(most)
+    before = Window.orderBy("_h", "_k").rowsBetween(Window.unboundedPreceding, -1)  # over `most` rows
+    held = found.withColumn("_n", F.coalesce(F.sum(F.length("_t")).over(before), F.lit(0))).where(F.col("_n") < most_chars)
+    rows = held.orderBy("_h", "_k").select("_t", "_y").collect()
     return fit([r._t for r in rows], [r._y for r in rows])
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text", threshold: float = 0.5) -> DataFrame:
     """keep's columns, score, predicted, n_sentences, and the spans of the sentences at or over the threshold."""
-    kept = docs.select(*keep, F.col(text).alias("_text"))
-    names = list(keep)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        points, b = _Scores(model), model.bias
-        add = points.__getitem__
-        for batch in batches:
-            scores, counts, spans = [], [], []
-            for t in batch.column("_text").to_pylist():
+
+    def make():
+        known, w, b = _Known(model), model.weights, model.bias
+        get = known.__getitem__
+
+        def each(texts: list) -> tuple[list, None]:
+            rows = []
+            for t in texts:
                 z, at = [], []
                 for a, e, words in sentences(t or ""):
-                    z.append(b + sum(map(add, words)))
+                    have = [x for x in map(get, words) if x]
+                    z.append(b + sum([w[f] for f in set().union(*have)]) if have else b)
                     at.append((a, e))
                 p = 1 / (1 + np.exp(-np.clip(np.array(z), -40, 40)))
-                scores.append(float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())))
-                counts.append(len(z))
-                spans.append([f"{at[i][0]}:{at[i][1]}" for i in np.flatnonzero(p >= threshold)])
-            own = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(counts, pa.int32()), pa.array(spans, pa.list_(pa.string()))], names=[*names, "score", "predicted", "n_sentences", "toxic_spans"])
+                score = float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())) if w else 0.0
+                rows.append((score, int(score >= threshold), len(z), [f"{at[i][0]}:{at[i][1]}" for i in np.flatnonzero(p >= threshold)]))
+            return columns_of(rows, 4), None
+
+        return each
 
-    return map_arrow(kept, run, f"{kinds}{', ' if kinds else ''}score double, predicted int, n_sentences int, toxic_spans array<string>")
+    return map_texts(docs, make, "score double, predicted int, n_sentences int, toxic_spans array<string>", keep, text)

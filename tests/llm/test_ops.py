@@ -183,7 +183,7 @@ def test_trigram_queries():
 
 def test_surrogates_are_distinct_and_stable(spark, odd, empty):
     make = surrogates.Surrogates(surrogates.key_of("k"))
-    for kind, many in {"phone": [f"+1555{i:07d}" for i in range(3000)], "ipv4": [f"10.0.{i // 256}.{i % 256}" for i in range(3000)], "email": [f"a{i:04d}@example.com" for i in range(3000)], "card": [f"{i:016d}" for i in range(2000)]}.items():
+    for kind, many in {"phone": [f"1555{i:07d}" for i in range(3000)], "ipv4": [f"10.0.{i // 256}.{i % 256}" for i in range(3000)], "email": [f"a{i:04d}@example.com" for i in range(3000)], "card": [f"{i:016d}" for i in range(2000)]}.items():
         new = [make.of(kind, x) for x in many]
         assert len(set(new)) == len(many) and all(len(a) == len(b) for a, b in zip(new, many, strict=True)) or kind == "ipv4"
         assert len(set(new)) == len(many)
