@@ -5,8 +5,10 @@ index has, for each such trigram, the rows whose lower-cased text holds it; post
 and united per rule as its query says, and only the candidates are verified with the expression. Rules
 without a mandatory trigram are verified on all rows. Only trigrams that some rule asks for are indexed.
 
-Defined cases: a null or empty text has no spans; a null key is kept, and its rows are candidates of one
-another; repeated rows or keys each get a result; an empty table gives an empty result.
+Defined cases: a null or empty text has no spans; a null key is kept; rows are told apart by key and text,
+so repeated rows or keys each get their own result; long texts are scanned whole, in time that grows as they
+do; a column of the table that has the name `found` gives way to the result; no other name clashes, as all
+other columns travel in one; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import passed, quoted
+
 try:  # the parser of expressions is private under either name
     from re import _constants as rc
     from re import _parser as parser
@@ -51,16 +55,16 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", False, 0, 20),
     Rule("hex", r"[0-9a-f]+", False, 0, 24),
 )
-#: Further rules, whose spans are added.
+#: Further rules, whose spans are added. Runs start at a boundary and are possessive, so that no text takes quadratic time.
 MORE = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{30,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("cloud", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("pay", r"[sr]k_(live|test)_[0-9A-Za-z]{16,}"),
     Rule("bearer", r"bearer\x20+[A-Za-z0-9._~+/-]{20,}=*", True),
-    Rule("url", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@", True),
+    Rule("url", r"(?<![a-z0-9+.-])[a-z][a-z0-9+.-]*+://[^\s/:@]++:[^\s/:@]++@", True),
 )
 RULES = BASE + MORE
 
@@ -180,7 +184,7 @@ def _holds(query: object, have: Column, number: dict[str, int]) -> Column:
 
 def postings(docs: DataFrame, trigrams: list[str], key: str, text: str) -> DataFrame:
     """The inverted index (trigram number, key): a row for each trigram that a text holds."""
-    low = docs.select(F.col(key).alias("key"), F.lower(F.col(text)).alias("low"))
+    low = docs.select(F.col(quoted(key)).alias("key"), F.lower(F.col(quoted(text))).alias("low"))
     found = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)]))
     return low.select("key", F.explode(found).alias("trigram"))
 
@@ -206,6 +210,27 @@ def _bounded(rule: Rule) -> str:
 
 
 _FOUND = "array<struct<start:int,kind:int,end:int>>"
+#: Matches that are put together before they are added to the others, so that long lists aren't copied for each match.
+_CHUNK = 64
+
+
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once: a name in a lambda isn't inlined, as a column would be."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _chunked(items: Column, kind: str, first: Column, step, add) -> Column:
+    """Goes through an array with a state {at, ...}, and gathers what `add(state, item)` gives (an array) in order.
+
+    step(state, item) is the state after an item. The result is the struct<state, out>.
+    """
+    none = F.array().cast(kind)
+    last = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _CHUNK).cast("int"))).otherwise(F.array().cast("array<int>"))
+    inner = lambda s, x: F.struct(step(s["state"], x).alias("state"), F.concat(s["out"], add(s["state"], x)).alias("out"))
+    chunk = lambda s, c: F.aggregate(F.slice(items, c * _CHUNK + 1, _CHUNK), F.struct(s["state"].alias("state"), none.alias("out")), inner)
+    outer = lambda s, c: _let(chunk(s, c), lambda got: F.struct(got["state"].alias("state"), F.concat(s["out"], F.array(got["out"])).alias("out")))
+    start = F.struct(first.alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+    return F.aggregate(last, start, outer, lambda s: F.struct(s["state"].alias("state"), F.flatten(s["out"]).alias("out")))
 
 
 def _found(rule: Rule, order: int, text: Column) -> Column:
@@ -213,16 +238,11 @@ def _found(rule: Rule, order: int, text: Column) -> Column:
     pattern, empty = _bounded(rule), F.array().cast(_FOUND)
     whole = F.regexp_extract_all(text, F.lit(pattern), 0)
     parts = F.regexp_extract_all(text, F.lit(pattern), rule.group) if rule.group else whole
-    zipped = F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(whole)).alias("gap"), whole.alias("whole"), parts.alias("part"))
-
-    def step(state: Column, x: Column) -> Column:
-        a = state["at"] + F.length(x["gap"])
-        b = a + F.length(x["whole"])
-        one = F.array(F.struct(a.alias("start"), F.lit(order).alias("kind"), b.alias("end")))
-        return F.struct(b.alias("at"), F.when(F.length(x["part"]) >= rule.least, F.concat(state["out"], one)).otherwise(state["out"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    return F.when(text.rlike(pattern), F.aggregate(zipped, start, step, lambda s: s["out"])).otherwise(empty)
+    lengths = F.transform(F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(whole)).alias("gap"), whole.alias("whole"), parts.alias("part")), lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["whole"]).alias("whole"), (F.length(x["part"]) >= rule.least).alias("kept")))
+    step = lambda s, x: F.struct((s["at"] + x["gap"] + x["whole"]).alias("at"))
+    one = lambda s, x: F.struct((s["at"] + x["gap"]).alias("start"), F.lit(order).alias("kind"), (s["at"] + x["gap"] + x["whole"]).alias("end"))
+    add = lambda s, x: F.when(x["kept"], F.array(one(s, x))).otherwise(empty)
+    return F.when(text.rlike(pattern), _let(lengths, lambda items: _chunked(items, _FOUND, F.struct(F.lit(0).alias("at")), step, add)["out"])).otherwise(empty)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -230,21 +250,23 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if q is not True}
     empty = F.array().cast(_FOUND)
-    rows = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    own = passed(docs.columns, ("found",))
+    whole = F.coalesce(F.col(quoted(text)), F.lit(""))
+    rows = docs.select(F.struct(*[F.col(quoted(c)) for c in own]).alias("own"), F.struct(F.col(quoted(key)).alias("k"), F.xxhash64(whole).alias("h")).alias("key"), whole.alias("text"))
     if indexed:
         trigrams = sorted(set().union(*(_trigrams(q) for q in indexed.values())))
-        sure = candidates(postings(docs, trigrams, key, text), indexed, trigrams)
-        rows = rows.join(sure.select(F.col("key").alias("_key"), F.col("rules").alias("_rules")), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+        sure = candidates(postings(rows, trigrams, "key", "text"), indexed, trigrams)
+        rows = rows.join(sure, "key", "left")
     else:
-        rows = rows.withColumn("_rules", F.lit(0).cast("long"))
+        rows = rows.withColumn("rules", F.lit(0).cast("long"))
     place = {k: i for i, k in enumerate(indexed)}
     parts = []
     for order, rule in enumerate(rules):
-        found = _found(rule, order, F.col("_text"))
+        found = _found(rule, order, F.col("text"))
         if rule.kind in place:
-            found = F.when(F.coalesce(F.col("_rules"), F.lit(0)).bitwiseAND(F.lit(1 << place[rule.kind])) != 0, found).otherwise(empty)
+            found = F.when(F.coalesce(F.col("rules"), F.lit(0)).bitwiseAND(F.lit(1 << place[rule.kind])) != 0, found).otherwise(empty)
         parts.append(found)
-    return rows.withColumn("found", F.array_sort(F.concat(*parts))).drop("_text", "_rules")
+    return rows.select(*[F.col(f"own.{quoted(c)}") for c in own], F.array_sort(F.concat(*parts)).alias("found"))
 
 
 def spelt(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -254,14 +276,30 @@ def spelt(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def redact(rows: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """rows with found -> the same without it, spans of the text replaced by [SECRET:kind], overlapping ones as one."""
-    kinds = F.array(*[F.lit(r.kind) for r in rules])
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """rows with found -> the same without it, spans of the text replaced by [SECRET:kind], overlapping ones as one.
+
+    The text that is left gets shorter as spans are met, and spans are taken in chunks, so the time grows as the text does.
+    """
+    kinds, value = F.array(*[F.lit(r.kind) for r in rules]), F.col(quoted(text))
+    # where each span begins and ends after those before it: one that begins inside another adds no mark
+    reach = _chunked(F.col("found"), "array<struct<start:int,kind:int,end:int>>", F.struct(F.lit(0).alias("at")), lambda s, x: F.struct(F.greatest(s["at"], x["end"]).alias("at")), lambda s, x: F.array(F.struct(F.when(x["start"] < s["at"], F.lit(-1)).otherwise(x["start"]).alias("start"), x["kind"].alias("kind"), F.greatest(s["at"], x["end"]).alias("end"))))["out"]
+    last = F.when(F.size("found") > 0, F.sequence(F.lit(0), F.floor((F.size("found") - 1) / _CHUNK).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+    def chunk(s: Column, spans: Column) -> Column:
+        """The state after some spans: `left` is the text from `at` on."""
+        end = F.element_at(spans, -1)["end"]
+
+        within = F.substring(s["left"], F.lit(1), end - s["at"])
+        near = F.struct(within.alias("left"), s["at"].alias("at"))
+        put = lambda n: F.aggregate(spans, F.struct(s["at"].alias("at"), F.array().cast("array<string>").alias("out")), lambda t, x: one_of(n, t, x))
+
+        def one_of(n: Column, t: Column, x: Column) -> Column:
+            gap = F.substring(n["left"], t["at"] - n["at"] + 1, x["start"] - t["at"])
+            return F.when(x["start"] < 0, F.struct(x["end"].alias("at"), t["out"].alias("out"))).otherwise(F.struct(x["end"].alias("at"), F.concat(t["out"], F.array(gap, F.concat(F.lit("[SECRET:"), kinds[x["kind"]], F.lit("]")))).alias("out")))
 
-    def step(s: Column, x: Column) -> Column:
-        inside = x["start"] < s["at"]
-        gap = F.substring(F.col(text), s["at"] + 1, x["start"] - s["at"])
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(inside, s["out"]).otherwise(F.concat(s["out"], gap, F.lit("[SECRET:"), kinds[x["kind"]], F.lit("]"))).alias("out"))
+        pieces = _let(near, lambda n: put(n)["out"])
+        return F.struct(F.substring(s["left"], end - s["at"] + 1, F.lit(2**31 - 1)).alias("left"), end.alias("at"), F.concat(s["out"], F.array(F.array_join(pieces, ""))).alias("out"))
 
-    cut = F.aggregate(F.col("found"), start, step, lambda s: F.concat(s["out"], F.substring(F.col(text), s["at"] + 1, F.length(F.col(text)))))
-    return rows.withColumn(text, F.when(F.size("found") > 0, cut).otherwise(F.col(text))).drop("found")
+    start = F.struct(value.alias("left"), F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    done = _let(reach, lambda spans: F.aggregate(last, start, lambda s, c: _let(F.slice(spans, c * _CHUNK + 1, _CHUNK), lambda own: chunk(s, own)), lambda s: F.concat(F.array_join(s["out"], ""), s["left"])))
+    return rows.withColumn(text, F.when(F.size("found") > 0, done).otherwise(value)).drop("found")
