@@ -285,6 +285,47 @@ def test_weighted_samples_estimate_jaccard(spark, odd, empty):
     assert weighted.fingerprints(empty).collect() == []
 
 
+def _likeness(a, b):
+    weigh = lambda t: Counter({w: n * len(w) for w, n in Counter(re.findall(r"[^\x20\x09-\x0d]+", t)).items()})
+    x, y = weigh(a), weigh(b)
+    return sum((x & y).values()) / max(1, sum((x | y).values())) if x or y else 1.0
+
+
+def test_weighted_likeness_is_generalised_jaccard(spark, docs):
+    """Over many samples signatures agree as often as the exact likeness says, within four standard deviations."""
+    rng, words = np.random.default_rng(4), [f"w{i}" * (1 + i % 5) for i in range(60)] + ["x" * 300, "y" * 1000]
+    texts = [" ".join(rng.choice(words, 80)) for _ in range(8)]
+    pairs = [(a, a + " " + b) for a, b in zip(texts, texts[1:], strict=False)] + [("x" * 300 + " a", "x" * 300 + " b"), ("a a a a b", "a b b")]
+    n = 400
+    rows = spark.createDataFrame([(i, j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)], "pair int, side int, t string")
+    got = {(r.pair, r.side): r.signature for r in weighted.signatures(rows, ["pair", "side"], "t", n).collect()}
+    for i, (a, b) in enumerate(pairs):
+        want = _likeness(a, b)
+        seen = sum(x == y for x, y in zip(got[i, 0], got[i, 1], strict=True)) / n
+        assert abs(seen - want) < 4 * math.sqrt(want * (1 - want) / n) + 0.01, (seen, want)
+
+
+def test_weighted_query_is_near_the_exact_likeness(spark, docs):
+    rows = queries.QUERIES["op8_weighted"](spark, DATA).collect()
+    texts = [(r.doc_id, r.text or "") for r in docs.orderBy(F.desc("doc_id")).collect()]
+    by, off = {r.doc_id: r for r in rows}, []
+    for i, (k, t) in enumerate(texts):
+        following = texts[(i + 1) % len(texts)][1]
+        half = len(t) // 2
+        edited = t[: len(t) - half] + following[:half]
+        assert by[k].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and by[k].n_chars == len(t)
+        off += [by[k].near_edited - _likeness(t, edited), by[k].near_next - _likeness(t, following)]
+    assert abs(np.mean(off)) < 4 * 0.09 / math.sqrt(len(off)) + 0.005 and np.abs(off).max() < 0.45
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 50, 1000])
+def test_weighted_ranges(spark, parts):
+    bounds = sorted({(i * 37) % 5000 for i in range(parts)})
+    keys = [-1, 0, 1, 36, 37, 2500, 4999, 6000]
+    got = [r.n for r in spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k long").select("i", weighted._rank(bounds, "k").alias("n")).orderBy("i").collect()]
+    assert got == [sum(b < k for b in bounds) for k in keys]
+
+
 # ---------------------------------------------------------------- 9
 
 
@@ -308,24 +349,78 @@ def test_attention_scores_dont_depend_on_what_is_told(odd, monkeypatch):
     train = remainder("doc_id", 7) != 2
     want = {r.doc_id: r for r in attention.score(odd, train, WORDS).collect()}
     monkeypatch.setattr(attention, "MOST_TOLD", 1)
-    monkeypatch.setattr(attention, "MOST_PAIRS", 1)
     got = {r.doc_id: r for r in attention.score(odd, train, WORDS).collect()}
     assert set(got) == set(want)
     for k, r in got.items():
         assert r.n_known == want[k].n_known and math.isclose(r.score, want[k].score, abs_tol=1e-4) and math.isclose(r.base_score, want[k].base_score, rel_tol=1e-9)
 
 
-def test_attention_is_causal_and_scores_each_token_once():
+def _fitted(ids):
+    """A model and shares by hand: pairs of a made-up corpus, one task's training."""
+    rng = np.random.default_rng(0)
+    size = len(tool(WORDS).ends)
+    classes = rng.integers(0, attention.CLASSES, size)
+    trainer = attention.Trainer(attention.fresh_model(size, np.zeros(attention.CLASSES, bool)), classes, 0.03)
+    for _ in range(150):
+        at = rng.integers(0, len(ids) - attention.WINDOW - 1, 32)
+        trainer.step(ids[at[:, None] + np.arange(attention.WINDOW + 1)])
+    logs = np.log10(rng.random((attention.CLASSES + 1, size)) + 0.1)
+    for row in logs:  # shares of a class sum to one
+        row -= np.log10(np.bincount(classes, 10**row, attention.CLASSES))[classes]
+    return trainer.m, attention.Shares(classes, logs.astype(np.float32), tool(WORDS).ends, np.zeros(attention.CLASSES, bool))
+
+
+def test_attention_is_causal_and_a_probability():
     rng = np.random.default_rng(0)
-    model = attention.fit([rng.integers(2, 300, 400).astype("<u4").tobytes() for _ in range(4)], np.ones(49408, np.int64), 4)
+    line = np.tile(rng.integers(2, 300, 40), 200)
+    m, known = _fitted(line)
     x = rng.integers(2, 300, (2, attention.WINDOW))
     y = x.copy()
     y[:, -1] = 7
-    a, b = attention.forward(model, x)[0], attention.forward(model, y)[0]
+    a, b = attention.forward(m, x)[0], attention.forward(m, y)[0]
     assert np.allclose(a[:, :-1], b[:, :-1]) and not np.allclose(a[:, -1], b[:, -1])
-    ids, starts = rng.integers(2, 300, 500), np.array([0, 1, 40, 200])
-    _, told, scored, _ = attention.windows(ids, starts)
-    assert sorted(told[scored].tolist()) == sorted(ids.tolist()) and int(scored.sum()) == 500
+    # the scores of all tokens that may come next sum to one, after windows of several lengths
+    score = attention.Scorer(m, known)
+    for n in (0, 5, attention.WINDOW + 9):
+        ids = np.concatenate([np.append(line[:n], t) for t in range(len(known.classes))])
+        starts = np.arange(len(known.classes)) * (n + 1)
+        total = score(ids, starts)[n :: n + 1]
+        assert math.isclose((10**total).sum(), 1, rel_tol=1e-3)
+
+
+def test_attention_windows_score_each_token_once():
+    rng = np.random.default_rng(2)
+    line = rng.integers(2, 300, 700)
+    m, known = _fitted(line)
+    score, starts = attention.Scorer(m, known), np.array([0, 1, 40, 200])
+    got = score(line, starts)
+    for a, b in zip(starts, [*starts[1:], len(line)], strict=True):  # token by token, each by a window of its own
+        for t in range(a, b):
+            k = 0 if t - a < attention.WINDOW else 1 + (t - a - attention.WINDOW) // (attention.WINDOW - attention.CONTEXT)
+            at = a + k * (attention.WINDOW - attention.CONTEXT)
+            read = np.array([attention.END if i == a else line[i - 1] for i in range(at, t + 1)] + [2] * (attention.WINDOW - (t + 1 - at)))
+            p = attention.forward(m, read[None])[0][0, t - at, known.classes[line[t]]]
+            before = attention.END if t == a else line[t - 1]
+            state = attention.CLASSES if known.ends[before] or before == attention.END else known.classes[before]
+            assert math.isclose(got[t], math.log10(p) + known.logs[state, line[t]], abs_tol=1e-3)
+    assert not np.isnan(got).any()
+
+
+def test_attention_carries_the_score(spark, docs):
+    """Held-out texts are scored clearly worse by the same counts without what the attention model says."""
+    train = remainder("doc_id", 7) != 2
+    rows, held = docs.where(train), [r.text for r in docs.where(~train).collect()]
+    texts = rows.count()
+    known = attention.shares(attention.subword_pairs(attention.word_counts(rows), WORDS), texts, WORDS)
+    sums = np.stack([np.bincount(known.classes, 10.0**row, attention.CLASSES) for row in known.logs])
+    assert np.allclose(sums[:, ~known.empty], 1, atol=1e-3)
+    m = attention.fit(rows, known, WORDS, sum(len((r.text or "").split()) for r in rows.collect()))
+    ids = [np.append(np.frombuffer(x, "<u4"), attention.END).astype(np.int64) for x in tool(WORDS)([(t or "").lower() for t in held])]
+    starts = np.cumsum([0, *map(len, ids)])[:-1]
+    mean = lambda model: float(attention.Scorer(model, known)(np.concatenate(ids), starts).mean())
+    blind = attention.replace(m, value=m.value * 0)
+    none = attention.replace(m, value=m.value * 0, embed=m.embed * 0)
+    assert mean(m) > mean(blind) + 0.05 and mean(m) > mean(none) + 0.3
 
 
 # ---------------------------------------------------------------- the whole
