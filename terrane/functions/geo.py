@@ -40,10 +40,11 @@ def box_distance_m(lat: Column, lon: Column, min_lat: Column, min_lon: Column, m
 
 
 def box_gap_m(a: dict[str, Column], b: dict[str, Column]) -> Column:
-    """Metres between two boxes (min_lat, min_lon, max_lat, max_lon), 0 where they touch."""
+    """Metres between two boxes (min_lat, min_lon, max_lat, max_lon), 0 where they touch; east is scaled at the mean of their four latitudes."""
     dy = F.greatest(b["min_lat"] - a["max_lat"], a["min_lat"] - b["max_lat"], F.lit(0.0))
     dx = F.greatest(b["min_lon"] - a["max_lon"], a["min_lon"] - b["max_lon"], F.lit(0.0))
-    return F.hypot(dx * F.cos(F.radians(a["min_lat"])) * DEGREE_M, dy * DEGREE_M)
+    middle = (a["min_lat"] + a["max_lat"] + b["min_lat"] + b["max_lat"]) / 4
+    return F.hypot(dx * F.cos(F.radians(middle)) * DEGREE_M, dy * DEGREE_M)
 
 
 def along(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
@@ -185,9 +186,33 @@ def segment_hits(rings: Column, p: Column, q: Column) -> Column:
 
 
 def segment_within(rings: Column, p: Column, q: Column) -> Column:
-    """Whether a segment stays in a polygon: both ends inside and no edge met."""
-    meets = F.exists(rings, lambda ring: F.exists(edges(closed(ring)), lambda e: segments_cross(p, q, e["a"], e["b"])))
-    return contains(rings, p["x"], p["y"]) & contains(rings, q["x"], q["y"]) & ~meets
+    """Whether a segment stays in a polygon: both ends and the middle inside, and no edge met between its ends.
+
+    An end may lie on an edge; a segment that touches a corner on its way counts as leaving, to be safe.
+    """
+    turn = lambda o, s, t: F.signum((s["x"] - o["x"]) * (t["y"] - o["y"]) - (s["y"] - o["y"]) * (t["x"] - o["x"]))
+
+    def crossed(e: Column) -> Column:
+        d1, d2, d3, d4 = turn(p, q, e["a"]), turn(p, q, e["b"]), turn(e["a"], e["b"], p), turn(e["a"], e["b"], q)
+        return (d3 * d4 < 0) & (d1 * d2 <= 0)
+
+    middle = point((p["x"] + q["x"]) / 2, (p["y"] + q["y"]) / 2)
+    ends = contains_closed(rings, p["x"], p["y"]) & contains_closed(rings, q["x"], q["y"])
+    return ends & contains_closed(rings, middle["x"], middle["y"]) & ~F.exists(rings, lambda ring: F.exists(edges(closed(ring)), crossed))
+
+
+def line_hits(rings: Column, line: Column) -> Column:
+    """Whether a line (or its only point) touches a polygon."""
+    alone = F.when(F.size(line) == 1, contains_closed(rings, F.get(line, F.lit(0))["x"], F.get(line, F.lit(0))["y"])).otherwise(F.lit(False))
+    return F.when(F.size(line) > 1, F.exists(edges(line), lambda e: segment_hits(rings, e["a"], e["b"]))).otherwise(alone)
+
+
+def line_gap_m(rings: Column, line: Column) -> Column:
+    """Metres from a line to a polygon, 0 where they touch: the least of the line's corners to edges and the polygon's corners to segments."""
+    corners = F.flatten(F.transform(rings, clean_ring))
+    ends = F.array_min(F.transform(line, lambda p: ring_distance_m(rings, p["y"], p["x"])))
+    sides = F.array_min(F.flatten(F.transform(edges(line), lambda e: F.transform(corners, lambda c: segment_distance_m(c["y"], c["x"], e["a"]["y"], e["a"]["x"], e["b"]["y"], e["b"]["x"])))))
+    return F.when(line_hits(rings, line), 0.0).otherwise(F.least(ends, sides))
 
 
 def representative_point(rings: Column, outer: Column | int = 1) -> Column:

@@ -6,7 +6,7 @@ one-pass builder would decide by the order of its input is decided here by ids.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BuildConfig
@@ -96,10 +96,8 @@ def streets(ways: DataFrame, rings: dict[str, Column], centres_: DataFrame, cfg:
     middle = w.groupBy("root", "key").agg(F.min("b.min_x").alias("min_lon"), F.min("b.min_y").alias("min_lat"), F.max("b.max_x").alias("max_lon"), F.max("b.max_y").alias("max_lat"))
     middle = middle.withColumn("lat", (F.col("min_lat") + F.col("max_lat")) / 2).withColumn("lon", (F.col("min_lon") + F.col("max_lon")) / 2).withColumn("addr_city", F.lit(None).cast("string"))
     placed = graph.kept(city_of(middle, centres_, "root"))
-    a, b = placed.where("city is not null").alias("x"), placed.where("city is not null").alias("y")
-    box = lambda t: {k: F.col(f"{t}.{k}") for k in ("min_lat", "min_lon", "max_lat", "max_lon")}
-    near = a.join(b, (F.col("x.key") == F.col("y.key")) & (F.col("x.city") == F.col("y.city")) & (F.col("x.root") < F.col("y.root"))).where(geo.box_gap_m(box("x"), box("y")) <= cfg.street_merge_m)
-    merged = graph.components(near.select(F.col("x.root").alias("a"), F.col("y.root").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("street"))
+    near = spatial.near_boxes(placed.where("city is not null"), "root", cfg.street_merge_m, ("key", "city"))
+    merged = graph.components(near.select("a", "b")).select(F.col("node").alias("root"), F.col("root").alias("street"))
     w = w.join(merged, "root", "left").withColumn("street", F.coalesce("street", "root")).join(placed.select("root", "city", "city_importance"), "root")
     points = w.select("street", "way", F.posexplode("line").alias("pos", "p")).select("street", "way", "pos", F.col("p.y").alias("lat"), F.col("p.x").alias("lon"))
     mean = points.groupBy("street").agg(F.avg("lat").alias("a"), F.avg("lon").alias("o"))
@@ -126,9 +124,15 @@ def addresses(objects: DataFrame, rings: dict[str, Column], streets_: DataFrame,
     a = graph.kept(a)
     s = streets_.select("street", F.col("key").alias("s_key"), F.split("key", " ").alias("s_words"), "min_lat", "min_lon", "max_lat", "max_lon", F.col("importance").alias("street_importance"))
     metres = geo.box_distance_m(F.col("lat"), F.col("lon"), F.col("min_lat"), F.col("min_lon"), F.col("max_lat"), F.col("max_lon"))
-    # both tiers meet through words: the rows that share the first word of the address, kept if all of its words are there
+    # both tiers meet through the address's rarest word among streets and cells as wide as the reach, kept if all of its words are there
     index = s.withColumn("w", F.explode(F.array_distinct("s_words")))
-    pairs = a.where(F.size("words") > 0).withColumn("w", F.get("words", F.lit(0))).join(index, "w").withColumn("metres", metres)
+    rare = a.select("osm", F.explode(F.array_distinct("words")).alias("w")).join(index.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "w", "left")
+    rare = rare.groupBy("osm").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("w"))).alias("b")).select("osm", F.col("b.w").alias("w"))
+    size = 2 * cfg.address_link_m / geo.DEGREE_M
+    grown = lambda lo, hi: F.explode(F.sequence(spatial.cell(F.col(lo) - size, size), spatial.cell(F.col(hi) + size, size)))
+    index = index.withColumn("_cy", grown("min_lat", "max_lat")).withColumn("_cx", grown("min_lon", "max_lon"))
+    here = a.join(rare, "osm").withColumn("_cy", spatial.cell(F.col("lat"), size)).withColumn("_cx", spatial.cell(F.col("lon"), size))
+    pairs = here.join(index, ["w", "_cy", "_cx"]).withColumn("metres", metres)
     pairs = pairs.where((F.col("metres") <= cfg.address_link_m) & ((F.col("key") == F.col("s_key")) | (F.size(F.array_except("words", "s_words")) == 0)))
     tier = F.when(F.col("key") == F.col("s_key"), 0).otherwise(1)
     linked = pairs.groupBy("osm").agg(F.min(F.struct(tier.alias("tier"), F.col("metres"), F.col("street"), F.col("street_importance"))).alias("b")).select("osm", F.col("b.street").alias("street"), F.col("b.street_importance").alias("street_importance"))
@@ -194,7 +198,7 @@ def cameras(nodes: DataFrame, ways: DataFrame, relations: DataFrame, rings: dict
     c = c.withColumn("maxspeed", F.coalesce("relation_speed", "own", "road_speed")).withColumn("maxspeed_src", F.when(F.col("relation_speed").isNotNull(), "relation").when(F.col("own").isNotNull(), "camera").when(F.col("road_speed").isNotNull(), "road"))
     c = c.withColumn("kind", F.coalesce("relation_kind", "kind"))
     order = F.struct(F.col("maxspeed").isNull(), F.col("osm"))
-    c = graph.kept(c).withColumn("priority", F.row_number().over(Window.partitionBy("kind").orderBy(order)).cast("long"))
+    c = graph.kept(c).withColumn("priority", order)
     stay = graph.greedy_dedup(c.select("osm", "kind", "lat", "lon", F.col("heading").cast("double").alias("heading"), "priority"), "osm", cfg.camera_dedup_m, cfg.turn_deg)
     return c.join(stay, "osm", "left_semi").select("osm", "kind", "lat", "lon", "maxspeed", "maxspeed_src", "heading", "heading_src", F.bround("road_bearing", 0).cast("int").alias("road_bearing"), F.round(F.when(F.col("node_way").isNull(), F.col("near_m")).otherwise(0.0), 1).alias("road_dist_m"), "road_class", "road_ref", "road_name", (F.coalesce("zone", F.lit("")) == "band").cast("int").alias("band"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import geo
+from ..functions import tags as T
 from ..functions.geo import let
 
 
@@ -23,6 +25,34 @@ def split_by_flags(first: Column, flags: Column) -> Column:
     return let(flags, lambda f: let(starts(f), lambda s: piece(f, s)))
 
 
+def judged(ways: DataFrame, rings: dict[str, Column], band_classes: tuple[str, ...] = ()) -> DataFrame:
+    """Ways (way, line, tags) with what `cut_ways` asks for, and `destination`.
+
+    A node may stay if it has a place, lies in the country and not in the hard zone. A segment may stay if both
+    of its nodes may, it doesn't touch the hard zone and doesn't leave the country: a straight line can cut a
+    corner of a zone though its ends are clear of it. The band holds a segment that touches it, of a road of
+    band_classes that is open to all cars. Of a way for four wheel drive only cars may enter for a destination.
+    """
+    xy = lambda p: p["x"].isNotNull() & p["y"].isNotNull() & ~F.isnan(p["x"]) & ~F.isnan(p["y"])
+    node = lambda f: F.transform("line", lambda p: F.coalesce(xy(p) & f(p), F.lit(False)))
+    inside = lambda zone: node(lambda p: geo.contains(rings[zone], p["x"], p["y"]))
+    n = F.greatest(F.size("line") - 1, F.lit(0))
+    pairs = lambda c, f: F.zip_with(F.slice(c, 1, n), F.slice(c, 2, n), f)
+    w = ways.withColumn("country", inside("country")).withColumn("hard", inside("hard"))
+    w = w.withColumn("ok", F.zip_with("country", "hard", lambda a, b: a & ~b)).withColumn("fine", pairs("ok", lambda a, b: a & b))
+    # the costly test only for segments whose ends are fine
+    whole = lambda e: geo.segment_within(rings["country"], e["a"], e["b"]) & ~geo.segment_hits(rings["hard"], e["a"], e["b"])
+    w = w.withColumn("segment_ok", F.zip_with("fine", geo.edges(F.col("line")), lambda fine, e: F.when(fine, whole(e)).otherwise(False)))
+    highway, route = T.tag(F.col("tags"), "highway"), T.tag(F.col("tags"), "route")
+    access = T.car_access(F.col("tags"))
+    w = w.withColumn("is_road", T.road_like(F.col("tags"))).withColumn("is_ferry", F.coalesce(route.isin(*T.FERRIES), F.lit(False))).withColumn("n_nodes", F.size("line"))
+    w = w.withColumn("four", F.coalesce((T.tag(F.col("tags"), "4wd_only") == "yes") & (access == "yes"), F.lit(False)))
+    banded = F.coalesce(highway.isin(*band_classes), F.lit(False)) & (access == "yes") & ~F.col("four")
+    touches = F.transform(geo.edges(F.col("line")), lambda e: F.coalesce(xy(e["a"]) & xy(e["b"]) & geo.segment_hits(rings["band"], e["a"], e["b"]), F.lit(False)))
+    w = w.withColumn("band", F.when(banded, touches).otherwise(F.array().cast("array<boolean>")))
+    return w.withColumn("any_hard", F.exists("hard", lambda x: x)).withColumn("any_outside", F.exists("country", lambda x: ~x))
+
+
 def cut_ways(ways: DataFrame, fresh_from: int, mode: str = "cut") -> DataFrame:
     """Ways with segment_ok and band flags -> pieces: way, piece, id, first, last, band, reason.
 
@@ -46,14 +76,15 @@ def cut_ways(ways: DataFrame, fresh_from: int, mode: str = "cut") -> DataFrame:
     return rows.select("way", "piece", F.when(F.col("piece") == 0, F.col("way")).when(F.col("piece") > 0, F.col("fresh") + F.col("piece") - 1).alias("id"), F.col("r.first").alias("first"), F.col("r.last").alias("last"), F.col("r.flag").alias("band"), "reason")
 
 
-def fresh_ids(rows: DataFrame, key: str, need: str, start: int, parts: int = 64) -> DataFrame:
+def fresh_ids(rows: DataFrame, key: str, need: str, start: int, range_rows: int = 250_000, most_ranges: int = 4096) -> DataFrame:
     """key and fresh, the first of the ids that a row gets: running sums in the order of the key.
 
-    The rows are dealt to ranges of the key by quantiles; sums within a range, and of the ranges before
-    it (one row each), add up, so nothing is sorted in one task.
+    The rows are dealt to ranges of the key by quantiles, as many as there are rows for; sums within a range,
+    and of the ranges before it (one row each), add up, so nothing is sorted in one task.
     """
-    cuts = rows.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
-    bounds = F.lit(sorted(set(cuts))).cast("array<long>") if cuts else F.array().cast("array<long>")
+    parts = max(1, min(most_ranges, -(-rows.count() // range_rows)))
+    cuts = (rows.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], 20_000)).first()[0] or []) if parts > 1 else []
+    bounds = F.split(F.lit(",".join(map(str, sorted(set(cuts))))), ",").cast("array<long>") if cuts else F.array().cast("array<long>")
     dealt = rows.withColumn("_range", F.size(F.filter(bounds, lambda b: b < F.col(key))))
     totals = dealt.groupBy("_range").agg(F.sum(need).alias("n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import checkpointed
 
-def row_ids(rows: DataFrame, order: list[Column], column: str = "id", parts: int = 200) -> DataFrame:
+
+def row_ids(rows: DataFrame, order: list[Column], column: str = "id", parts: int | None = None) -> DataFrame:
     """Dense ids from 1 in the given order over a whole table.
 
-    Rows are sorted by ranges, numbered within each, and the ranges' sizes (one row each) give what to
-    add, so no task sees more than its range.
+    Rows are sorted by ranges (as many as the session's shuffles have partitions, if not told), written down so
+    that numbers can't change where a part is computed again, and numbered within each; the ranges' sizes (one
+    row each) give what to add, so no task sees more than its range.
     """
-    sorted_ = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id())
+    dealt = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    sorted_ = checkpointed(dealt.sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id()))
     sizes = sorted_.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_seq").alias("_low"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     base = F.broadcast(sizes.select("_part", "_low", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base")))

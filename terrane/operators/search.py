@@ -34,6 +34,7 @@ def parsed(queries: DataFrame, key: str = "q", text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[key, "n", "pos", "raw", "keys", "prefixes", "is_number", "required", "last", "initials"])
 
     kind = dict(queries.dtypes)[key]
+    ship(queries.sparkSession)
     return queries.select(key, text).mapInArrow(run, f"{key} {kind}, n int, pos int, raw string, keys array<string>, prefixes array<string>, is_number boolean, required boolean, last boolean, initials array<string>")
 
 

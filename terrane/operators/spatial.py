@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..runtime import checkpointed
 
 
 def cell(value: Column, size: float) -> Column:
@@ -71,7 +72,7 @@ def settlement_of(points: DataFrame, areas: DataFrame, centres: DataFrame, key:
 def named_or(points: DataFrame, named: DataFrame, fallback: DataFrame, key: str, limit_m: float = 30_000.0) -> DataFrame:
     """key, settlement: the nearest of the name given within limit_m, else the fallback's."""
     a = points.where(F.col("name_key").isNotNull())
-    pairs = a.join(named, "name_key").withColumn("metres", geo.distance_m(F.col("lat"), F.col("lon"), F.col("r_lat"), F.col("r_lon"))).where(F.col("metres") <= limit_m)
+    pairs = within_join(a, named, limit_m, ("name_key",))
     best = pairs.groupBy(key).agg(F.min(F.struct("metres", "settlement")).alias("b")).select(key, F.col("b.settlement").alias("by_name"))
     return points.select(key).join(best, key, "left").join(fallback.select(key, F.col("settlement").alias("other")), key, "left").select(key, F.coalesce("by_name", "other").alias("settlement"))
 
@@ -79,19 +80,47 @@ def named_or(points: DataFrame, named: DataFrame, fallback: DataFrame, key: str,
 def nearest_of_kind(queries: DataFrame, rows: DataFrame, spans: tuple[float, ...] = (0.02, 0.05, 0.1, 0.3, 1.0, 5.0), limit: int = 5, r_key: str = "row_id") -> DataFrame:
     """The nearest rows of a kind to each query, from the first box around it that holds enough of them.
 
-    queries: q, kind, lat, lon; rows: kind, r_lat, r_lon and a key. Pairs beyond the last box are dropped in the join.
+    queries: q, kind, lat, lon; rows: kind, r_lat, r_lon and a key. A span's boxes meet the rows by cells as wide
+    as the span, and only queries that are still short go on to the next.
     """
     off = F.greatest(F.abs(F.col("r_lat") - F.col("lat")), F.abs(F.col("r_lon") - F.col("lon")))
-    pairs = queries.join(rows, "kind").where(off <= spans[-1])
-    ring = F.lit(len(spans) - 1)
-    for i in range(len(spans) - 2, -1, -1):
-        ring = F.when(off <= spans[i], i).otherwise(ring)
-    pairs = pairs.withColumn("ring", ring).withColumn("metres", geo.distance_m(F.col("lat"), F.col("lon"), F.col("r_lat"), F.col("r_lon")))
-    in_ring = Window.partitionBy("q").orderBy("ring").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = pairs.groupBy("q", "ring").agg(F.count(F.lit(1)).alias("n")).withColumn("n", F.sum("n").over(in_ring))
-    enough = seen.groupBy("q").agg(F.coalesce(F.min(F.when(F.col("n") >= limit, F.col("ring"))), F.max("ring")).alias("last"))
+    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     order = Window.partitionBy("q").orderBy("metres", r_key)
-    return pairs.join(enough, "q").where("ring <= last").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).select("q", "rank", r_key, "metres")
+    left, out = queries, None
+    for i, span in enumerate(spans):
+        a = left.withColumn("_n", F.explode(around)).withColumn("_cy", cell(F.col("lat"), span) + F.col("_n.i")).withColumn("_cx", cell(F.col("lon"), span) + F.col("_n.j")).drop("_n")
+        b = rows.withColumn("_cy", cell(F.col("r_lat"), span)).withColumn("_cx", cell(F.col("r_lon"), span))
+        near = a.join(b, ["kind", "_cy", "_cx"]).where(off <= span).withColumn("metres", geo.distance_m(F.col("lat"), F.col("lon"), F.col("r_lat"), F.col("r_lon")))
+        best = checkpointed(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).select("q", "rank", r_key, "metres"))
+        enough = best.where(F.col("rank") == limit).select("q")
+        done = best if i == len(spans) - 1 else best.join(enough, "q", "left_semi")
+        out = done if out is None else out.unionByName(done)
+        left = left.join(enough, "q", "left_anti")
+        if i < len(spans) - 1:
+            left = checkpointed(left)
+            if left.isEmpty():
+                break
+    return out
+
+
+def near_boxes(boxes: DataFrame, key: str, metres: float, on: tuple[str, ...] = (), most_lat: float = 60.0) -> DataFrame:
+    """Pairs (a, b, gap) of boxes (min_lat, min_lon, max_lat, max_lon), equal in `on`, no further apart than so many metres.
+
+    A box is put into all cells that it touches, one of each pair grown by the distance; cells are as wide as the
+    mean box, so that few are needed for any.
+    """
+    tall = metres / geo.DEGREE_M
+    wide = tall / math.cos(math.radians(most_lat))
+    mean = boxes.agg(F.avg(F.greatest(F.col("max_lat") - F.col("min_lat"), F.col("max_lon") - F.col("min_lon")))).first()[0] or 0.0
+    size = max(mean, 2 * wide)
+    span = lambda lo, hi, by: F.explode(F.sequence(cell(F.col(lo) - by, size), cell(F.col(hi) + by, size)))
+    cells = lambda df, y, x: df.withColumn("_cy", span("min_lat", "max_lat", y)).withColumn("_cx", span("min_lon", "max_lon", x))
+    names = ("min_lat", "min_lon", "max_lat", "max_lon")
+    a = cells(boxes.select(*on, F.col(key).alias("a"), *names), 0.0, 0.0)
+    b = cells(boxes.select(*on, F.col(key).alias("b"), *names), tall, wide).select(*on, "b", "_cy", "_cx", *[F.col(c).alias(f"r_{c}") for c in names])
+    box = lambda p: {c: F.col(f"{p}{c}") for c in names}
+    gap = geo.box_gap_m(box(""), box("r_"))
+    return a.join(b, [*on, "_cy", "_cx"]).where(F.col("a") < F.col("b")).withColumn("gap", gap).where(F.col("gap") <= metres).select(*on, "a", "b", "gap").distinct()
 
 
 def segments(ways: DataFrame, way: str = "way", line: str = "line") -> DataFrame:

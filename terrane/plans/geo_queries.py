@@ -93,11 +93,11 @@ def representative_point(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("points_in_triangles", "GEO03 GEO22 GTE05", f"""{_TRI}, p AS (SELECT c_custkey, {_LON('c_custkey')} x, {_LAT('c_custkey')} y FROM customer),
-    s AS (SELECT s_suppkey, c_custkey, (x1-x0)*(y-y0)-(x-x0)*(y1-y0) d1, (x2-x1)*(y-y1)-(x-x1)*(y2-y1) d2, (x0-x2)*(y-y2)-(x-x2)*(y0-y2) d3 FROM a, p WHERE s_suppkey <= 5 AND abs(area) > 0.001)
+    s AS (SELECT s_suppkey, c_custkey, (x1-x0)*(y-y0)-(x-x0)*(y1-y0) d1, (x2-x1)*(y-y1)-(x-x1)*(y2-y1) d2, (x0-x2)*(y-y2)-(x-x2)*(y0-y2) d3 FROM a, p WHERE abs(area) > 0.001)
     SELECT s_suppkey, count(*) AS n, count(*) AS n_second FROM s WHERE ((d1 > 0 AND d2 > 0 AND d3 > 0) OR (d1 < 0 AND d2 < 0 AND d3 < 0)) AND c_custkey NOT IN (s_suppkey, s_suppkey + 17, s_suppkey + 34) GROUP BY 1""")
 def points_in_triangles(spark: SparkSession, d: str) -> DataFrame:
     """Two ways to tell a point in a polygon, over the same pairs."""
-    a = _triangles(spark, d).where("s_suppkey <= 5").where(F.abs(geo.signed_area(F.col("ring"))) > 0.001).withColumn("rings", F.array("ring"))
+    a = _triangles(spark, d).where(F.abs(geo.signed_area(F.col("ring"))) > 0.001).withColumn("rings", F.array("ring"))
     box = geo.bounds(F.col("ring"))
     a = a.withColumn("b", box).select("s_suppkey", "rings", "b.*")
     p = S.points(spark, d, "customer", "c_custkey").select("c_custkey", "lat", "lon")
@@ -112,13 +112,17 @@ def buffer_of_point(spark: SparkSession, d: str) -> DataFrame:
     return S.points(spark, d, "customer", "c_custkey").select("c_custkey", geo.within_m(rings, F.col("lat"), F.col("lon"), 5000.0).alias("near"))
 
 
-@query("box_gap", "GEO10 JN18", f"""WITH b AS (SELECT l_orderkey AS way, min({_LAT('l_partkey')}) a, min({_LON('l_partkey')}) b, max({_LAT('l_partkey')}) c, max({_LON('l_partkey')}) d FROM lineitem WHERE l_orderkey < 300 GROUP BY 1)
-    SELECT x.way AS a, y.way AS b, round(sqrt(pow(greatest(y.b - x.d, x.b - y.d, 0.0) * cos(radians(x.a)) * {D}, 2) + pow(greatest(y.a - x.c, x.a - y.c, 0.0) * {D}, 2)), 2) AS gap FROM b x JOIN b y ON x.way % 10 = y.way % 10 AND x.way < y.way""")
+_BOXES = f"(SELECT c_custkey AS k, c_nationkey AS g, {_LAT('c_custkey')} AS a, {_LON('c_custkey')} AS b, {_LAT('c_custkey')} + 0.001 * (c_custkey % 9) AS c, {_LON('c_custkey')} + 0.002 * (c_custkey % 7) AS d FROM customer)"
+
+
+@query("box_gap", "GEO10 JN18", f"""SELECT x.k AS a, y.k AS b, round(sqrt(pow(greatest(y.b - x.d, x.b - y.d, 0.0) * cos(radians((x.a + x.c + y.a + y.c) / 4)) * {D}, 2) + pow(greatest(y.a - x.c, x.a - y.c, 0.0) * {D}, 2)), 2) AS gap
+    FROM {_BOXES} x JOIN {_BOXES} y ON x.g = y.g AND x.k < y.k WHERE sqrt(pow(greatest(y.b - x.d, x.b - y.d, 0.0) * cos(radians((x.a + x.c + y.a + y.c) / 4)) * {D}, 2) + pow(greatest(y.a - x.c, x.a - y.c, 0.0) * {D}, 2)) <= 4000""")
 def box_gap(spark: SparkSession, d: str) -> DataFrame:
-    w = S.ways(spark, d).where("way < 300").select("way", (F.col("way") % 10).alias("g"), geo.bounds(F.col("line")).alias("b"))
-    box = lambda t: {"min_lat": F.col(f"{t}.b.min_y"), "min_lon": F.col(f"{t}.b.min_x"), "max_lat": F.col(f"{t}.b.max_y"), "max_lon": F.col(f"{t}.b.max_x")}
-    pairs = w.alias("x").join(w.alias("y"), (F.col("x.g") == F.col("y.g")) & (F.col("x.way") < F.col("y.way")))
-    return pairs.select(F.col("x.way").alias("a"), F.col("y.way").alias("b"), r(geo.box_gap_m(box("x"), box("y")), 2).alias("gap"))
+    """Customers' boxes that lie within 4 km of another one of their nation."""
+    p = S.points(spark, d, "customer", "c_custkey")
+    k = F.col("c_custkey")
+    boxes = p.select(k, F.col("c_nationkey").alias("g"), F.col("lat").alias("min_lat"), F.col("lon").alias("min_lon"), (F.col("lat") + 0.001 * (k % 9)).alias("max_lat"), (F.col("lon") + 0.002 * (k % 7)).alias("max_lon"))
+    return spatial.near_boxes(boxes, "c_custkey", 4000.0, ("g",)).select("a", "b", r(F.col("gap"), 2).alias("gap"))
 
 
 @query("tile_of_point", "GEO16", f"SELECT c_custkey, floor((lon + 180) / 360 * 4096)::BIGINT AS x, floor((1 - ln(tan(radians(lat)) + 1 / cos(radians(lat))) / pi()) / 2 * 4096)::BIGINT AS y FROM {S.sql_points('customer', 'c_custkey')}")
@@ -168,9 +172,9 @@ def way_bbox(spark: SparkSession, d: str) -> DataFrame:
     return b.select("way", r(F.col("b.min_x"), 6).alias("min_x"), r(F.col("b.min_y"), 6).alias("min_y"), geo.outward(F.col("b.max_x"), 3, False).alias("max_x_in"), geo.outward(F.col("b.max_y"), 3, True).alias("max_y_out"))
 
 
-def _sql_crosses() -> str:
-    """Whether a segment meets the hard zone's box: an end inside, or the box's clip of the segment isn't empty."""
-    a, b, c, e = S.ZONES["hard"]
+def _sql_crosses(zone: str = "hard") -> str:
+    """Whether a segment meets a zone's box: an end inside, or the box's clip of the segment isn't empty."""
+    a, b, c, e = S.ZONES[zone]
     dx, dy = "(x2 - x1)", "(y2 - y1)"
     lo = f"greatest(0.0, CASE WHEN {dx} = 0 THEN 0.0 ELSE least(({a} - x1) / {dx}, ({c} - x1) / {dx}) END, CASE WHEN {dy} = 0 THEN 0.0 ELSE least(({b} - y1) / {dy}, ({e} - y1) / {dy}) END)"
     hi = f"least(1.0, CASE WHEN {dx} = 0 THEN 1.0 ELSE greatest(({a} - x1) / {dx}, ({c} - x1) / {dx}) END, CASE WHEN {dy} = 0 THEN 1.0 ELSE greatest(({b} - y1) / {dy}, ({e} - y1) / {dy}) END)"
@@ -181,26 +185,53 @@ def _sql_crosses() -> str:
 _SEGMENTS = f"(SELECT way, pos, lon AS x1, lat AS y1, lead(lon) OVER w AS x2, lead(lat) OVER w AS y2 FROM {S.SQL_WAYNODES} WINDOW w AS (PARTITION BY way ORDER BY pos))"
 
 
-@query("segments_in_zone", "GEO12 JN15 GTE10", f"SELECT way, pos, {_sql_crosses()} AS hits FROM {_SEGMENTS} WHERE x2 IS NOT NULL AND way < 3000")
+@query("segments_in_zone", "GEO12 JN15 GTE10", f"SELECT way, pos, {_sql_crosses()} AS hits FROM {_SEGMENTS} WHERE x2 IS NOT NULL")
 def segments_in_zone(spark: SparkSession, d: str) -> DataFrame:
-    seg = spatial.segments(S.ways(spark, d).where("way < 3000"))
+    seg = spatial.segments(S.ways(spark, d))
     hits = geo.segment_hits(S.zone_rings()["hard"], geo.point(F.col("x1"), F.col("y1")), geo.point(F.col("x2"), F.col("y2")))
     return seg.select("way", F.col("pos").cast("long").alias("pos"), hits.alias("hits"))
 
 
-@query("line_gap_to_zone", "GEO13", f"SELECT way, round(min({_sql_box('lat', 'lon', S.OCCUPIED)}), 2) AS metres FROM {S.SQL_WAYNODES} WHERE way < 2000 GROUP BY way")
+def _sql_to_segment(px: str, py: str, x1: str, y1: str, x2: str, y2: str) -> str:
+    """Metres from a point to a segment, on the plane scaled at the point."""
+    k = f"(cos(radians({py})) * {D}::DOUBLE)"
+    ax, ay, bx, by = f"(({x1} - {px}) * {k})", f"(({y1} - {py}) * {D}::DOUBLE)", f"(({x2} - {px}) * {k})", f"(({y2} - {py}) * {D}::DOUBLE)"
+    size = f"(pow({bx} - {ax}, 2) + pow({by} - {ay}, 2))"
+    t = f"(CASE WHEN {size} > 0 THEN least(1.0, greatest(0.0, -({ax} * ({bx} - {ax}) + {ay} * ({by} - {ay})) / {size})) ELSE 0.0 END)"
+    return f"sqrt(pow({ax} + {t} * ({bx} - {ax}), 2) + pow({ay} + {t} * ({by} - {ay}), 2))"
+
+
+def _sql_gap() -> str:
+    """Metres from a segment to the occupied box: its ends to the box's sides, and the box's corners to it."""
+    a, b, c, e = S.OCCUPIED
+    ring = [(a, b), (c, b), (c, e), (a, e)]
+    sides = [_sql_to_segment(px, py, *(f"{v}::DOUBLE" for v in (*ring[i], *ring[(i + 1) % 4]))) for px, py in (("x1", "y1"), ("x2", "y2")) for i in range(4)]
+    corners = [_sql_to_segment(f"{x}::DOUBLE", f"{y}::DOUBLE", "x1", "y1", "x2", "y2") for x, y in ring]
+    return f"least({', '.join([*sides, *corners])})"
+
+
+@query("line_gap_to_zone", "GEO13", f"SELECT way, round(min(CASE WHEN {_sql_crosses('occupied')} THEN 0.0 ELSE {_sql_gap()} END), 2) AS metres FROM {_SEGMENTS} WHERE x2 IS NOT NULL GROUP BY way")
 def line_gap_to_zone(spark: SparkSession, d: str) -> DataFrame:
-    b = [F.lit(x) for x in S.OCCUPIED]
-    gap = F.array_min(F.transform("line", lambda p: geo.box_distance_m(p["y"], p["x"], b[1], b[0], b[3], b[2])))
-    return S.ways(spark, d).where("way < 2000").select("way", r(gap, 2).alias("metres"))
+    """How far each way, its segments and not only its corners, keeps from occupied land."""
+    rings = S.zone_rings()["occupied"]
+    seg = spatial.segments(S.ways(spark, d))
+    line = F.array(geo.point(F.col("x1"), F.col("y1")), geo.point(F.col("x2"), F.col("y2")))
+    return seg.select("way", geo.line_gap_m(rings, line).alias("m")).groupBy("way").agg(r(F.min("m"), 2).alias("metres"))
+
+
+def _sql_spelt(i: int) -> str:
+    return f"printf('%.7f %.7f', x{i}, y{i})"
 
 
-@query("geometry_key", "GEO15", "SELECT s_suppkey, true AS same FROM supplier")
+@query("geometry_key", "GEO15", f"""{_TRI}, sp AS (SELECT s_suppkey, {', '.join(f'{_sql_spelt(i)} AS p{i}' for i in range(3))} FROM a),
+    tu AS (SELECT s_suppkey, CASE least(p0, p1, p2) WHEN p0 THEN [p0, p1, p2] WHEN p1 THEN [p1, p2, p0] ELSE [p2, p0, p1] END AS r FROM sp)
+    SELECT s_suppkey, sha256(least(r[1] || ',' || r[2] || ',' || r[3], r[1] || ',' || r[3] || ',' || r[2])) AS key, true AS same FROM tu""")
 def geometry_key(spark: SparkSession, d: str) -> DataFrame:
-    """The key of a ring is that of the ring turned round and begun elsewhere."""
+    """The key of a ring, and whether it is that of the ring turned round and begun elsewhere."""
     t = _triangles(spark, d)
     other = F.reverse(F.concat(F.slice("ring", 2, 3), F.slice("ring", 2, 1)))
-    return t.select("s_suppkey", (geo.geometry_key(F.array("ring")) == geo.geometry_key(F.array(other))).alias("same"))
+    key = geo.geometry_key(F.array("ring"))
+    return t.select("s_suppkey", key.alias("key"), (key == geo.geometry_key(F.array(other))).alias("same"))
 
 
 @query("hausdorff", "GEO14 PIP10")
@@ -211,18 +242,20 @@ def hausdorff(spark: SparkSession, d: str) -> DataFrame:
     return t.select("s_suppkey", r(geo.hausdorff_m(F.col("ring"), other), 1).alias("metres"), r(geo.outside_m(other, F.array("ring")), 1).alias("pokes_out"))
 
 
-@query("shape_acceptance", "GEO20", f"""SELECT way, min(CASE WHEN NOT {S.sql_in('country', 'lat', 'lon')} THEN pos END) AS first_outside, bool_or({S.sql_in('hard', 'lat', 'lon')}) AS in_hard FROM {S.SQL_WAYNODES} GROUP BY way""")
+@query("shape_acceptance", "GEO20", f"""WITH n AS (SELECT way, min(CASE WHEN NOT {S.sql_in('country', 'lat', 'lon')} THEN pos END) AS first_outside, count(*) AS nodes, bool_or({S.sql_in('hard', 'lat', 'lon')}) AS node_in FROM {S.SQL_WAYNODES} GROUP BY way),
+    h AS (SELECT way, bool_or({_sql_crosses()}) AS hit FROM {_SEGMENTS} WHERE x2 IS NOT NULL GROUP BY way)
+    SELECT n.way, first_outside, CASE WHEN nodes > 1 THEN hit ELSE node_in END AS in_hard FROM n LEFT JOIN h ON h.way = n.way""")
 def shape_acceptance(spark: SparkSession, d: str) -> DataFrame:
+    """Where a route first leaves the country, and whether its line, not only its corners, enters the hard zone."""
     z = S.zone_rings()
-    return S.ways(spark, d).select("way", geo.first_outside(F.col("line"), z["country"]).cast("long").alias("first_outside"), F.exists("line", lambda p: geo.contains(z["hard"], p["x"], p["y"])).alias("in_hard"))
+    return S.ways(spark, d).select("way", geo.first_outside(F.col("line"), z["country"]).cast("long").alias("first_outside"), geo.line_hits(z["hard"], F.col("line")).alias("in_hard"))
 
 
-@query("aeqd_scale", "GEO11", f"SELECT s_suppkey, abs(1 - 1) < 0.0005 AS within FROM supplier")
+@query("aeqd_scale", "GEO11", f"SELECT s_suppkey, round({S.sql_metres('lat', 'lon', '42.0::DOUBLE', '44.5::DOUBLE')}, 2) AS metres, round((degrees(atan2(sin(radians(lon - 44.5)) * cos(radians(lat)), cos(radians(42.0)) * sin(radians(lat)) - sin(radians(42.0)) * cos(radians(lat)) * cos(radians(lon - 44.5)))) + 360) % 360.0, 4) AS bearing FROM {S.sql_points('supplier', 's_suppkey')}")
 def aeqd_scale(spark: SparkSession, d: str) -> DataFrame:
-    """Distances from the projection's centre are true."""
+    """Distances and directions from the projection's centre are true."""
     p = S.points(spark, d, "supplier", "s_suppkey").withColumn("q", geo.aeqd(F.col("lat"), F.col("lon"), 42.0, 44.5))
-    true = geo.distance_m(F.col("lat"), F.col("lon"), F.lit(42.0), F.lit(44.5))
-    return p.select("s_suppkey", (F.abs(1 - F.hypot("q.x", "q.y") / true) < 0.0005).alias("within"))
+    return p.select("s_suppkey", r(F.hypot("q.x", "q.y"), 2).alias("metres"), r(F.pmod(F.degrees(F.atan2("q.x", "q.y")) + 360.0, F.lit(360.0)), 4).alias("bearing"))
 
 
 # ---------------------------------------------------------------- joins in space
@@ -290,33 +323,33 @@ def city_by_name(spark: SparkSession, d: str) -> DataFrame:
     return spatial.named_or(p, named, settlement_of_point(spark, d), "c_custkey")
 
 
-@query("knn_category", "SRT04 FTS07", f"""WITH q AS (SELECT s_suppkey AS q, {_LAT('s_suppkey')} lat, {_LON('s_suppkey')} lon FROM supplier WHERE s_suppkey <= 20), w AS (SELECT p_partkey, p_size % 5 AS kind, {_LAT('p_partkey')} lat, {_LON('p_partkey')} lon FROM part),
+@query("knn_category", "SRT04 FTS07", f"""WITH q AS (SELECT s_suppkey AS q, {_LAT('s_suppkey')} lat, {_LON('s_suppkey')} lon FROM supplier), w AS (SELECT p_partkey, p_size % 5 AS kind, {_LAT('p_partkey')} lat, {_LON('p_partkey')} lon FROM part),
     o AS (SELECT q, p_partkey, greatest(abs(w.lat - q.lat), abs(w.lon - q.lon)) AS off, {S.sql_metres('q.lat', 'q.lon', 'w.lat', 'w.lon')} AS metres FROM q JOIN w ON w.kind = q.q % 5),
     s AS (SELECT *, CASE WHEN off <= 0.02 THEN 0 WHEN off <= 0.05 THEN 1 WHEN off <= 0.1 THEN 2 WHEN off <= 0.3 THEN 3 WHEN off <= 1.0 THEN 4 ELSE 5 END AS ring FROM o WHERE off <= 5),
     n AS (SELECT q, ring, sum(count(*)) OVER (PARTITION BY q ORDER BY ring) AS n FROM s GROUP BY q, ring), l AS (SELECT q, coalesce(min(CASE WHEN n >= 5 THEN ring END), max(ring)) AS last FROM n GROUP BY q)
     SELECT q, rank, p_partkey, round(metres, 2) AS metres FROM (SELECT s.q, p_partkey, metres, row_number() OVER (PARTITION BY s.q ORDER BY metres, p_partkey) AS rank FROM s JOIN l ON l.q = s.q AND ring <= last) WHERE rank <= 5""")
 def knn_category(spark: SparkSession, d: str) -> DataFrame:
-    q = S.points(spark, d, "supplier", "s_suppkey").where("s_suppkey <= 20").select(F.col("s_suppkey").alias("q"), (F.col("s_suppkey") % 5).cast("int").alias("kind"), "lat", "lon")
+    q = S.points(spark, d, "supplier", "s_suppkey").select(F.col("s_suppkey").alias("q"), (F.col("s_suppkey") % 5).cast("int").alias("kind"), "lat", "lon")
     w = S.points(spark, d, "part", "p_partkey").select("p_partkey", (F.col("p_size") % 5).alias("kind"), F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"))
     return spatial.nearest_of_kind(q, w, r_key="p_partkey").withColumn("metres", r(F.col("metres"), 2))
 
 
 _SEGMENT_M = f"""(SELECT s_suppkey, way, pos, sqrt(pow(ax + t * (nx - ax), 2) + pow(ay + t * (ny - ay), 2)) AS metres FROM (SELECT *, CASE WHEN (nx - ax) = 0 AND (ny - ay) = 0 THEN 0.0 ELSE least(1.0, greatest(0.0, -(ax * (nx - ax) + ay * (ny - ay)) / (pow(nx - ax, 2) + pow(ny - ay, 2)))) END AS t
-    FROM (SELECT s_suppkey, way, pos, (x1 - lon) * cos(radians(lat)) * {D} AS ax, (y1 - lat) * {D} AS ay, (x2 - lon) * cos(radians(lat)) * {D} AS nx, (y2 - lat) * {D} AS ny FROM {_SEGMENTS} s, {S.sql_points('supplier', 's_suppkey')} p WHERE x2 IS NOT NULL AND way < 200 AND s_suppkey <= 50)))"""
+    FROM (SELECT s_suppkey, way, pos, (x1 - lon) * cos(radians(lat)) * {D} AS ax, (y1 - lat) * {D} AS ay, (x2 - lon) * cos(radians(lat)) * {D} AS nx, (y2 - lat) * {D} AS ny FROM {_SEGMENTS} s, {S.sql_points('supplier', 's_suppkey')} p WHERE x2 IS NOT NULL)))"""
 
 
 @query("nearest_road", "JN08 GEO19", f"SELECT s_suppkey, way, round(metres, 2) AS metres FROM (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY metres, way % 8, way) AS rn FROM (SELECT s_suppkey, way, min(metres) AS metres FROM {_SEGMENT_M} WHERE metres <= 1500 GROUP BY ALL)) WHERE rn = 1")
 def nearest_road(spark: SparkSession, d: str) -> DataFrame:
-    p = S.points(spark, d, "supplier", "s_suppkey").where("s_suppkey <= 50").select("s_suppkey", "lat", "lon")
-    w = S.ways(spark, d).where("way < 200").select("way", "line", "class_rank")
+    p = S.points(spark, d, "supplier", "s_suppkey").select("s_suppkey", "lat", "lon")
+    w = S.ways(spark, d).select("way", "line", "class_rank")
     out = spatial.nearest_roads(p, w, "s_suppkey", 1500.0)
     return out.where("rank = 1").select("s_suppkey", "way", r(F.col("metres"), 2).alias("metres"))
 
 
 @query("parallel_roads", "JN17", f"""WITH m AS (SELECT s_suppkey, way, min(metres) AS metres FROM {_SEGMENT_M} WHERE metres <= 1500 GROUP BY ALL) SELECT s_suppkey, bool_and(way % 3 = 0) AS all_one_way, count(*) AS roads FROM m GROUP BY 1""")
 def parallel_roads(spark: SparkSession, d: str) -> DataFrame:
-    p = S.points(spark, d, "supplier", "s_suppkey").where("s_suppkey <= 50").select("s_suppkey", "lat", "lon")
-    w = S.ways(spark, d).where("way < 200").select("way", "line", "class_rank")
+    p = S.points(spark, d, "supplier", "s_suppkey").select("s_suppkey", "lat", "lon")
+    w = S.ways(spark, d).select("way", "line", "class_rank")
     near = spatial.nearest_roads(p, w, "s_suppkey", 1500.0)
     return near.groupBy("s_suppkey").agg(F.bool_and(F.col("way") % 3 == 0).alias("all_one_way"), F.count(F.lit(1)).alias("roads"))
 
@@ -351,40 +384,64 @@ def split_runs(spark: SparkSession, d: str) -> DataFrame:
     return runs.select("user_id", F.col("r.first").cast("long").alias("first"), F.col("r.last").cast("long").alias("last"), F.col("r.flag").alias("flag"))
 
 
+LOST = 997  # nodes whose number this divides have no place
+BAND_CLASSES = ("residential", "service", "track")
+
+
+def _clip_ways(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as ways with tags: some no roads, some ferries, some private or for four wheel drive; some nodes without a place."""
+    w = S.ways(spark, d)
+    k = F.col("way")
+    pairs = F.create_map(
+        F.lit("highway"), F.when(k % 11 > 0, F.col("class")), F.lit("route"), F.when(k % 50 == 0, "ferry"), F.lit("access"), F.when(k % 7 == 0, "private"), F.lit("4wd_only"), F.when(k % 13 == 0, "yes"),
+    )
+    known = F.zip_with("refs", "line", lambda n, p: geo.point(F.when(n % LOST > 0, p["x"]), F.when(n % LOST > 0, p["y"])))
+    return w.withColumn("line", known).withColumn("tags", F.map_filter(pairs, lambda _, v: v.isNotNull()))
+
+
 def clipped(w: DataFrame) -> DataFrame:
     """Ways cut by legality: way, piece, id, first, last, band, reason."""
-    z = S.zone_rings()
-    inside = lambda zone: F.transform("line", lambda p: geo.contains(z[zone], p["x"], p["y"]))
-    w = w.withColumn("ok", F.zip_with(inside("country"), inside("hard"), lambda a, b: a & ~b)).withColumn("hard", inside("hard")).withColumn("out", F.transform(inside("country"), lambda a: ~a)).withColumn("b", inside("band"))
-    n = F.greatest(F.size("line") - 1, F.lit(0))
-    pairs = lambda c, f: F.zip_with(F.slice(c, 1, n), F.slice(c, 2, n), f)
-    w = w.withColumn("segment_ok", pairs("ok", lambda a, b: a & b)).withColumn("band", F.when(F.col("class_rank") >= 5, pairs("b", lambda a, b: a | b)).otherwise(F.array().cast("array<boolean>")))
-    w = w.withColumn("is_road", F.lit(True)).withColumn("is_ferry", F.col("way") % 50 == 0).withColumn("n_nodes", F.size("line"))
-    w = w.withColumn("any_hard", F.exists("hard", lambda x: x)).withColumn("any_outside", F.exists("out", lambda x: x))
-    return lines.cut_ways(w, 4_000_000_000)
-
-
-_NODE_OK = f"(SELECT way, pos, {S.sql_in('country', 'lat', 'lon')} AND NOT {S.sql_in('hard', 'lat', 'lon')} AS ok, {S.sql_in('hard', 'lat', 'lon')} AS hard, NOT {S.sql_in('country', 'lat', 'lon')} AS out, {S.sql_in('band', 'lat', 'lon')} AS b FROM {S.SQL_WAYNODES} WHERE way < 4000)"
-_CLIP = f"""WITH n AS {_NODE_OK}, w AS (SELECT way, count(*) AS nodes, bool_or(hard) AS hard, bool_or(out) AS out FROM n GROUP BY way),
-    s AS (SELECT way, pos, ok AND lead(ok) OVER x AS ok, way % 8 >= 5 AND (b OR lead(b) OVER x) AS band, lead(pos) OVER x AS nxt FROM n WINDOW x AS (PARTITION BY way ORDER BY pos)),
-    good AS (SELECT way, bool_and(ok) AS whole FROM s WHERE nxt IS NOT NULL GROUP BY way),
-    k AS (SELECT s.way, s.pos, s.band FROM s JOIN good USING (way) WHERE nxt IS NOT NULL AND s.ok AND (whole OR s.way % 50 <> 0)),
+    return lines.cut_ways(lines.judged(w, S.zone_rings(), BAND_CLASSES), 4_000_000_000)
+
+
+_PLACED = f"(node % {LOST} > 0)"
+_NODE_OK = f"(SELECT way, pos, lat, lon, {_PLACED} AS placed, {_PLACED} AND {S.sql_in('country', 'lat', 'lon')} AS inside, {_PLACED} AND {S.sql_in('hard', 'lat', 'lon')} AS hard FROM {S.SQL_WAYNODES})"
+_CLIP = f"""WITH n AS {_NODE_OK}, w AS (SELECT way, count(*) AS nodes, bool_or(hard) AS hard, bool_or(NOT inside) AS out, way % 11 > 0 OR way % 50 = 0 AS road FROM n GROUP BY way),
+    e AS (SELECT way, pos, lon AS x1, lat AS y1, lead(lon) OVER x AS x2, lead(lat) OVER x AS y2, placed AND lead(placed) OVER x AS placed, inside AND NOT hard AND lead(inside AND NOT hard) OVER x AS ends, lead(pos) OVER x AS nxt FROM n WINDOW x AS (PARTITION BY way ORDER BY pos)),
+    s AS (SELECT way, pos, ends AND NOT {_sql_crosses()} AS ok, way % 11 > 0 AND way % 8 >= 5 AND way % 7 <> 0 AND way % 13 <> 0 AND placed AND {_sql_crosses('band')} AS band FROM e WHERE nxt IS NOT NULL),
+    good AS (SELECT way, bool_and(ok) AS whole FROM s GROUP BY way),
+    k AS (SELECT s.way, s.pos, s.band FROM s JOIN good USING (way) JOIN w USING (way) WHERE road AND s.ok AND (whole OR s.way % 50 <> 0)),
     r AS (SELECT *, sum(c) OVER (PARTITION BY way ORDER BY pos) AS g FROM (SELECT *, CASE WHEN lag(pos) OVER x IS DISTINCT FROM pos - 1 OR lag(band) OVER x IS DISTINCT FROM band THEN 1 ELSE 0 END AS c FROM k WINDOW x AS (PARTITION BY way ORDER BY pos))),
     pc AS (SELECT way, g - 1 AS piece, min(pos) AS first, max(pos) + 1 AS last, any_value(band) AS band FROM r GROUP BY way, g),
-    al AS (SELECT w.way, coalesce(pc.piece, CASE WHEN nodes < 2 THEN 0 END) AS piece, coalesce(pc.first, CASE WHEN nodes < 2 THEN 0 END) AS first, coalesce(pc.last, CASE WHEN nodes < 2 THEN 0 END) AS last, coalesce(pc.band, CASE WHEN nodes < 2 THEN false END) AS band, CASE WHEN pc.way IS NULL AND nodes >= 2 THEN CASE WHEN hard THEN 'no_go' WHEN out THEN 'outside' ELSE 'no_go' END END AS reason FROM w LEFT JOIN pc USING (way))
+    al AS (SELECT w.way, coalesce(pc.piece, CASE WHEN nodes < 2 OR NOT road THEN 0 END) AS piece, coalesce(pc.first, CASE WHEN nodes < 2 OR NOT road THEN 0 END) AS first, coalesce(pc.last, CASE WHEN nodes < 2 OR NOT road THEN nodes - 1 END) AS last, coalesce(pc.band, CASE WHEN nodes < 2 OR NOT road THEN false END) AS band, CASE WHEN pc.way IS NULL AND nodes >= 2 AND road THEN CASE WHEN hard THEN 'no_go' WHEN out THEN 'outside' ELSE 'no_go' END END AS reason FROM w LEFT JOIN pc USING (way))
     SELECT way, piece::BIGINT AS piece, CASE WHEN piece = 0 THEN way WHEN piece > 0 THEN 4000000000 + sum(CASE WHEN piece > 0 THEN 1 ELSE 0 END) OVER (ORDER BY way, piece) - 1 END::BIGINT AS id, first::BIGINT AS first, last::BIGINT AS last, band, reason FROM al"""
 
 
-@query("clip_ways", "ARR03 ARR04 SRC05 FLT05 FLT12", _CLIP)
+@query("clip_ways", "ARR03 ARR04 FLT05 FLT12", _CLIP)
 def clip_ways(spark: SparkSession, d: str) -> DataFrame:
-    out = clipped(S.ways(spark, d).where("way < 4000"))  # as its SQL twin
+    out = clipped(_clip_ways(spark, d))
     return out.select("way", F.col("piece").cast("long").alias("piece"), "id", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), "band", "reason")
 
 
+@query("clip_keeps_clear", "SRC05 ARR03", f"WITH c AS ({_CLIP}) SELECT count(*) AS pieces, 0::BIGINT AS hits FROM c JOIN (SELECT DISTINCT l_orderkey AS way FROM lineitem WHERE l_orderkey % 11 > 0 OR l_orderkey % 50 = 0) USING (way) WHERE piece IS NOT NULL AND last > first")
+def clip_keeps_clear(spark: SparkSession, d: str) -> DataFrame:
+    """How many kept pieces of roads there are, and how many of them touch the hard zone, asked piece by piece."""
+    w = _clip_ways(spark, d)
+    kept = clipped(w).where("piece is not null and last > first").join(w.where("way % 11 > 0 or way % 50 = 0").select("way", "line"), "way")
+    line = F.expr("slice(line, first + 1, last - first + 1)")
+    return kept.agg(F.count(F.lit(1)).alias("pieces"), F.count_if(geo.line_hits(S.zone_rings()["hard"], line)).alias("hits"))
+
+
+@query("four_wheel_rule", "FLT13", "SELECT l_orderkey AS way, l_orderkey % 13 = 0 AND l_orderkey % 7 <> 0 AND (l_orderkey % 11 > 0 OR l_orderkey % 50 = 0) AS destination FROM (SELECT DISTINCT l_orderkey FROM lineitem)")
+def four_wheel_rule(spark: SparkSession, d: str) -> DataFrame:
+    """Ways for four wheel drive that are open to all cars become destination-only."""
+    return lines.judged(_clip_ways(spark, d), S.zone_rings(), BAND_CLASSES).select("way", F.col("four").alias("destination"))
+
+
 @query("relation_filter", "ARR07")
 def relation_filter(spark: SparkSession, d: str) -> DataFrame:
     """Customers as relations whose members are their orders' ways, after the clip."""
-    pieces = clipped(S.ways(spark, d))
+    pieces = clipped(_clip_ways(spark, d))
     refs = S.ways(spark, d).select("way", "refs")
     kept = pieces.where("piece is not null").join(refs, "way").withColumn("nodes", F.expr("slice(refs, first + 1, last - first + 1)")).select("way", "piece", "id", "nodes")
     o = table(spark, d, "orders")
@@ -394,22 +451,23 @@ def relation_filter(spark: SparkSession, d: str) -> DataFrame:
     return out.select("relation", "kind", F.size("members").alias("n"), F.transform("members", lambda m: m["ref"]).alias("refs"))
 
 
-@query("node_on_way", "ARR08 JN09 PIP09 SRC03", "SELECT l_partkey AS node, min(struct_pack(rank := l_orderkey % 8, way := l_orderkey)).way AS way, count(DISTINCT l_orderkey) AS ways FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size < 10 GROUP BY 1")
+@query("node_on_way", "ARR08 JN09 PIP09 SRC03", "SELECT l_partkey AS node, min(struct_pack(rank := l_orderkey % 8, way := l_orderkey)).way AS way, count(DISTINCT l_orderkey) AS ways FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1")
 def node_on_way(spark: SparkSession, d: str) -> DataFrame:
-    nodes = table(spark, d, "part").where("p_size < 10").select(F.col("p_partkey").alias("node"))
+    nodes = table(spark, d, "part").select(F.col("p_partkey").alias("node"))
     on = S.ways(spark, d).select("way", "class_rank", F.explode(F.array_distinct("refs")).alias("node"))
     return on.join(nodes, "node").groupBy("node").agg(F.min(F.struct("class_rank", "way")).alias("b"), F.count(F.lit(1)).alias("ways")).select("node", F.col("b.way").alias("way"), "ways")
 
 
 # ---------------------------------------------------------------- graphs and clusters
 
-_LINKS = "(SELECT DISTINCT l_partkey AS a, l_partkey // 3 + 1 AS b FROM lineitem WHERE l_partkey <= 600 AND l_suppkey % 2 = 0)"
+_LINKS = "(SELECT DISTINCT l_partkey AS a, l_partkey - 1 AS b FROM lineitem WHERE l_partkey % 9 > 0)"
 
 
 @query("components", "AGG11 SRT09", f"""WITH RECURSIVE e AS (SELECT a, b FROM {_LINKS} UNION SELECT b, a FROM {_LINKS}), n AS (SELECT DISTINCT a AS node FROM e), r(node, root) AS (SELECT node, node FROM n UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node) SELECT node, min(root) AS root FROM r GROUP BY node""")
 def components(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").where("l_partkey <= 600 and l_suppkey % 2 = 0")
-    return graph.components(li.select(F.col("l_partkey").alias("a"), (F.floor(F.col("l_partkey") / 3) + 1).alias("b")).distinct())
+    """Parts that were sold, each tied to the one before it but for every ninth: chains of nine."""
+    li = table(spark, d, "lineitem").where("l_partkey % 9 > 0")
+    return graph.components(li.select(F.col("l_partkey").alias("a"), (F.col("l_partkey") - 1).alias("b")).distinct())
 
 
 @query("point_clusters", "AGG12 AGG13 AGG09")
@@ -451,9 +509,9 @@ def boxes_overlap(a: DataFrame) -> DataFrame:
     return cells.join(b, ["cx", "cy"]).where(hit).select(F.col("name").alias("a"), F.col("name2").alias("b")).distinct()
 
 
-@query("sprite_overlap", "GTE15", "WITH s AS (SELECT p_partkey AS name, p_partkey * 37 % 900 AS x, p_partkey * 53 % 900 AS y, p_size AS w FROM part WHERE p_partkey <= 300) SELECT a.name AS a, b.name AS b FROM s a JOIN s b ON a.name < b.name AND a.x < b.x + b.w AND b.x < a.x + a.w AND a.y < b.y + b.w AND b.y < a.y + a.w")
+@query("sprite_overlap", "GTE15", "WITH s AS (SELECT p_partkey AS name, p_partkey * 37 % 900 AS x, p_partkey * 53 % 900 AS y, p_size AS w FROM part) SELECT a.name AS a, b.name AS b FROM s a JOIN s b ON a.name < b.name AND a.x < b.x + b.w AND b.x < a.x + a.w AND a.y < b.y + b.w AND b.y < a.y + a.w")
 def sprite_overlap(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part").where("p_partkey <= 300")
+    p = table(spark, d, "part")
     return boxes_overlap(p.select(F.col("p_partkey").alias("name"), (F.col("p_partkey") * 37 % 900).alias("x"), (F.col("p_partkey") * 53 % 900).alias("y"), F.col("p_size").alias("width"), F.col("p_size").alias("height")))
 
 

@@ -31,6 +31,7 @@ def decoded(files: DataFrame, f: Callable[[bytes], list[tuple]], fields: str, ki
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own, pa.int64())), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)), pa.array(why, pa.string())], names=[keep, *names, "problem"])
 
     kind = dict(files.dtypes)[keep]
+    ship(files.sparkSession)
     return files.select(keep, content).mapInArrow(run, f"{keep} {kind}, {fields}, problem string")
 
 
