@@ -128,8 +128,10 @@ def addresses(objects: DataFrame, rings: dict[str, Column], streets_: DataFrame,
     index = s.withColumn("w", F.explode(F.array_distinct("s_words")))
     rare = a.select("osm", F.explode(F.array_distinct("words")).alias("w")).join(index.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "w", "left")
     rare = rare.groupBy("osm").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("w"))).alias("b")).select("osm", F.col("b.w").alias("w"))
-    size = 2 * cfg.address_link_m / geo.DEGREE_M
-    grown = lambda lo, hi: F.explode(F.sequence(spatial.cell(F.col(lo) - size, size), spatial.cell(F.col(hi) + size, size)))
+    grow = 2 * cfg.address_link_m / geo.DEGREE_M
+    wide = s.agg(F.avg(F.greatest(F.col("max_lat") - F.col("min_lat"), F.col("max_lon") - F.col("min_lon")))).first()[0] or 0.0
+    size = max(grow, wide)
+    grown = lambda lo, hi: F.explode(F.sequence(spatial.cell(F.col(lo) - grow, size), spatial.cell(F.col(hi) + grow, size)))
     index = index.withColumn("_cy", grown("min_lat", "max_lat")).withColumn("_cx", grown("min_lon", "max_lon"))
     here = a.join(rare, "osm").withColumn("_cy", spatial.cell(F.col("lat"), size)).withColumn("_cx", spatial.cell(F.col("lon"), size))
     pairs = here.join(index, ["w", "_cy", "_cx"]).withColumn("metres", metres)
