@@ -86,7 +86,7 @@ def pieces(docs: DataFrame, path: str, end: int = 1, most: int = 4096, keep: tup
         def each(raw: list) -> tuple[list, list[int]]:
             texts = [t or "" for t in raw]
             rows, at = [], []
-            for a, b in slices(texts):
+            for a, b in slices(texts, 4_000_000):
                 for i, ids in enumerate(encode(texts[a:b]), a):
                     ids += last
                     for k in range(0, len(ids), 4 * most):

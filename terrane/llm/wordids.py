@@ -14,11 +14,15 @@ import unicodedata
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 LIMIT = "\u0180"
 #: Python takes these for blanks, the tokenizer doesn't.
 _ODD = re.compile("[\x1c-\x1f]")
+#: What only the library as a whole is asked for.
+_HARD = re.compile(f"[\x1c-\x1f{LIMIT}-\U0010ffff]")
 
 
 def _byte_chars() -> dict[int, str]:
@@ -46,26 +50,25 @@ class WordIds:
         classes = {x: "".join(re.escape(chr(i)) for i in range(ord(LIMIT)) if unicodedata.category(chr(i))[0] == x) for x in "LN"}
         self.words_in = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{classes['L']}]+|[{classes['N']}]|[^{classes['L']}{classes['N']}]+").findall
         self.chars = {b: c for b, c in _byte_chars().items()}
-        self.stretches: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.most = most
+        self._forget()
 
-    def _learn(self, new: list[str]) -> None:
-        parts = [self.words_in(s.lower()) for s in new]
-        unknown = list({w for ws in parts for w in ws if w not in self.words})
-        if unknown:
-            self.words.update(zip(unknown, self._pieces(unknown), strict=True))
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """Ids of stretches, by their words, which are kept."""
+        cut = self.words_in
+        parts = [[s.lower()] if s.isascii() and s.isalpha() else cut(s.lower()) for s in new]
         known = self.words
-        for s, ws in zip(new, parts, strict=True):
-            self.stretches[s] = b"".join([known[w] for w in ws])
+        unknown = list(set().union(*parts) - known.keys())
+        if unknown:
+            known.update(zip(unknown, self._pieces(unknown), strict=True))
+        return [known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) for ws in parts]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of words as the splitter gives them, none of which holds a blank."""
         if not pieces:
             return []
-        line = " ".join(pieces)
-        if not (line.isascii() and line.isprintable()):  # printable ASCII stands for itself
-            line = " ".join([p if p.isascii() and p.isprintable() else p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.chars) for p in pieces])
+        line = " ".join([p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.chars) for p in pieces])
         ids = np.array(self.bare.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
         cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
         if len(cuts) != len(pieces):
@@ -89,24 +92,61 @@ class WordIds:
         known = dict(zip(pieces, self._pieces(pieces), strict=True))
         return [(known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])) if ps is not None else np.array(self.whole.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w, ps in zip(words, parts, strict=True)]
 
+    def _forget(self) -> None:
+        self.stretches: dict[str, int] = {}
+        self.count = self.used = 0
+        self.start, self.size, self.ids = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
+
+    def _keep(self, new: list[str]) -> None:
+        """Adds stretches and their ids."""
+        ids = self._learn(new)
+        flat, sizes = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        a, b, end = self.count, self.count + len(new), self.used + len(flat)
+        room = lambda x, n: x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
+        self.start, self.size, self.ids = room(self.start, b), room(self.size, b), room(self.ids, end)
+        self.start[a:b], self.size[a:b], self.ids[self.used : end] = self.used + np.cumsum(sizes) - sizes, sizes, flat
+        self.stretches.update(zip(new, range(a, b), strict=True))
+        self.count, self.used = b, end
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; what has been learnt is dropped when it is much, and always for long words."""
-        split = [t.split() if (t.isascii() or max(t) < LIMIT) and not _ODD.search(t) else None for t in texts]
-        have = self.stretches
-        if len(have) > self.most:
-            have.clear()
+        hard = [bool(_HARD.search(t)) for t in texts]
+        if len(self.stretches) > self.most:
+            self._forget()
         if len(self.words) > self.most:
             self.words.clear()
-        new = [s for s in set().union(*(s for s in split if s)) if s not in have]
+        lists = pc.utf8_split_whitespace(pa.array([t for t, h in zip(texts, hard, strict=True) if not h], pa.large_string()))
+        flat, offsets = lists.flatten(), lists.offsets.to_numpy()
+        some = pc.not_equal(flat, "")
+        begin = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])[offsets - offsets[0]]
+        coded = flat.filter(some).dictionary_encode()
+        own, have = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.stretches
+        got = list(map(have.get, own))
+        new = [s for s, n in zip(own, got, strict=True) if n is None]
+        short, long = [s for s in new if len(s) <= 48], [s for s in new if len(s) > 48]
+        self._keep(short)
+        count, used = self.count, self.used
+        self._keep(long)
         if new:
-            self._learn(new)
-        get = have.__getitem__
-        out = [b"".join(map(get, s)) if s is not None else np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t, s in zip(texts, split, strict=True)]
-        for s in new:
-            if len(s) > 48:
-                del have[s]
-        for w in [w for s in new if len(s) > 48 for w in self.words_in(s.lower())]:
-            self.words.pop(w, None)
+            fresh = iter(map(have.__getitem__, new))
+            got = [next(fresh) if n is None else n for n in got]
+        number = np.array(got, np.int64)[coded.indices.to_numpy()]
+        sizes = self.size[number]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        data = self.ids[np.repeat(self.start[number] - ends[:-1], sizes) + np.arange(ends[-1])].tobytes()
+        cuts = iter(zip((4 * ends[begin[:-1]]).tolist(), (4 * ends[begin[1:]]).tolist(), strict=True))
+        out = []
+        for t, h in zip(texts, hard, strict=True):
+            if h:
+                out.append(np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                a, b = next(cuts)
+                out.append(data[a:b])
+        for s in long:
+            del have[s]
+            for w in self.words_in(s.lower()):
+                self.words.pop(w, None)
+        self.count, self.used = count, used
         return out
 
 
