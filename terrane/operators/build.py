@@ -141,10 +141,10 @@ def addresses(objects: DataFrame, rings: dict[str, Column], streets_: DataFrame,
     a = graph.kept(a.join(linked, "osm", "left"))
     # what found none is gathered to streets of its own, by name and city and nearness
     own = graph.linked_clusters(a.where("street is null and key != ''").select("osm", "lat", "lon", "key", F.coalesce("city", F.lit("")).alias("c")), "osm", cfg.street_merge_m, ("key", "c")).select("osm", F.col("cluster").alias("virtual"))
-    a = a.join(own, "osm", "left").withColumn("on", F.coalesce(F.col("street").cast("string"), F.concat(F.lit("v:"), "virtual"), F.concat_ws("|", F.lit("p:"), "place", "city")))
+    a = a.join(graph.kept(own), "osm", "left").withColumn("on", F.coalesce(F.col("street").cast("string"), F.concat(F.lit("v:"), "virtual"), F.concat_ws("|", F.lit("p:"), "place", "city")))
     a = graph.kept(a.withColumn("number_key", fold.name_key(F.col("housenumber"))))
     same = graph.linked_clusters(a.select("osm", "lat", "lon", "on", "number_key"), "osm", cfg.address_dedup_m, ("on", "number_key"))
-    a = a.join(same, "osm")
+    a = graph.kept(a.join(same, "osm"))
     best = a.groupBy("on", "number_key", "cluster").agg(F.min_by("osm", F.struct(~F.col("building"), F.col("osm"))).alias("osm"))
     base, cw, sw, bw = cfg.address_weights
     score = base + cw * F.coalesce("city_importance", F.lit(0.0)) + sw * F.coalesce("street_importance", F.lit(0.0)) + F.when(F.col("building"), bw).otherwise(0.0)
