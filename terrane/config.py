@@ -47,7 +47,6 @@ class SearchConfig:
     coverage: float = 0.3
     optional_bonus: float = 0.05
     type_missing: float = 0.9
-    initial_bonus: float = 0.02
     text: float = 0.7
     importance: float = 0.3
     near: float = 0.3

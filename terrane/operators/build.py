@@ -231,6 +231,26 @@ def search_names(brand_words: dict[str, list[str]] | None = None) -> Column:
     return F.array_distinct(F.filter(F.concat(F.array_compact(F.array(*own)), F.split(F.coalesce("alt_names", F.lit("")), r"\|"), F.coalesce(F.try_element_at(words, F.col("brand")), F.array().cast("array<string>")) if brand_words else F.array().cast("array<string>")), lambda x: x != ""))
 
 
+def extra_names(names_: Column, kind: Column, kind_words: dict[str, list[str]], joined: bool = True) -> Column:
+    """Further names that a point of interest is found by, never shown: each name with each word for its kind that no name holds yet, and names of two Latin words as one."""
+    words = F.create_map(*[x for k, v in kind_words.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    held = F.flatten(F.transform(names_, fold.keys))
+    open_ = F.filter(F.coalesce(F.try_element_at(words, kind), F.array().cast("array<string>")), lambda w: ~F.exists(held, lambda h: F.exists(fold.keys(w), lambda k: F.startswith(h, k))))
+    bases = F.filter(names_, lambda n, i: ~F.exists(F.slice(names_, 1, i), lambda m: fold.name_key(m) == fold.name_key(n)))
+    with_word = F.flatten(F.transform(open_, lambda w: F.transform(bases, lambda n: F.concat_ws(" ", n, w))))
+    one = F.transform(F.filter(names_, lambda n: n.rlike("^[A-Za-z]+ [A-Za-z]+$")), lambda n: F.replace(n, F.lit(" "), F.lit("")))
+    return F.array_distinct(F.concat(with_word, F.filter(one, lambda n: ~F.array_contains(names_, n)))) if joined else F.array_distinct(with_word)
+
+
+def with_aliases(rows: DataFrame, entries: DataFrame) -> DataFrame:
+    """rows (kind, name, alt_names) with the further names of well-known places; entries: name, kinds (empty: any), names. Few entries, so they are told to all tasks."""
+    e = F.broadcast(entries.select(F.col("name").alias("_name"), F.col("kinds").alias("_kinds"), F.col("names").alias("_names")))
+    fits = (F.col("name") == F.col("_name")) & ((F.size("_kinds") == 0) | F.array_contains("_kinds", F.col("kind")))
+    have = F.filter(F.split(F.coalesce("alt_names", F.lit("")), r"\|"), lambda x: x != "")
+    more = F.array_join(F.array_union(have, F.filter("_names", lambda n: n != F.col("name"))), "|")
+    return rows.join(e, fits, "left").withColumn("alt_names", F.when(F.col("_names").isNotNull(), more).otherwise(F.col("alt_names"))).drop("_name", "_kinds", "_names")
+
+
 def postings(rows: DataFrame, names_: Column, id_column: str = "id") -> DataFrame:
     """The inverted index: key and row id, a row for each; rows without keys have none."""
     keys = F.array_distinct(F.flatten(F.transform(names_, fold.index_keys)))

@@ -235,6 +235,21 @@ def places_named(spark: SparkSession, d: str) -> DataFrame:
     return rules.places_named(search.parsed(typed), n.select("id", fold.keys(F.col("name")).alias("keys")), index)
 
 
+@query("extra_names", "STR21 STR22 STR23", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_name || ' station|' || p_brand || ' station|' ELSE '' END || CASE WHEN regexp_matches(p_name, '^[A-Za-z]+ [A-Za-z]+$') THEN replace(p_name, ' ', '') ELSE '' END AS extra, CASE WHEN p_name = 'red widget' AND p_size % 2 = 0 THEN 'old|crimson cog' ELSE 'old' END AS alt_names, p_name || '|old|' || p_brand || ' fuel' AS search FROM part")
+def extra_names(spark: SparkSession, d: str) -> DataFrame:
+    """Words for a kind and joined names, aliases, and a brand's synonyms."""
+    k = F.col("p_partkey")
+    p = table(spark, d, "part").withColumn("kind", F.when(k % 3 == 0, "fuel").otherwise("cafe"))
+    aliases = spark.createDataFrame([("red widget", ["even"], ["crimson cog", "red widget"])], "name string, kinds array<string>, names array<string>")
+    even = p.select(k, "p_brand", "p_name", F.when(F.col("p_size") % 2 == 0, "even").otherwise("odd").alias("size_kind"), "kind")
+    named = build.with_aliases(even.select(k, "p_brand", "p_name", F.col("kind").alias("poi"), F.col("size_kind").alias("kind"), F.col("p_name").alias("name"), F.lit("old").alias("alt_names")), aliases)
+    brands = {f"Brand#{i}": [f"Brand#{i} fuel"] for i in range(1, 100)}
+    own = named.withColumn("name_ka", F.lit(None).cast("string")).withColumn("name_en", F.lit(None).cast("string")).withColumn("name_ru", F.lit(None).cast("string")).withColumn("brand", F.col("p_brand"))
+    words = build.extra_names(F.array("p_name", "p_brand"), F.col("poi"), {"fuel": ["station"]})
+    searched = own.withColumn("kept", F.col("alt_names")).withColumn("alt_names", F.lit("old")).withColumn("search", F.array_join(build.search_names(brands), "|")).withColumn("alt_names", F.col("kept"))
+    return searched.select("p_partkey", F.array_join(words, "|").alias("extra"), "alt_names", "search")
+
+
 # ---------------------------------------------------------------- builds
 
 

@@ -110,22 +110,25 @@ def geojson_rings(spark: SparkSession, path: str) -> DataFrame:
     return parts.select("name", "kind", "part", F.posexplode("rings").alias("ring", "r")).withColumn("line", F.transform("r", lambda q: geo.point(q[0], q[1]))).drop("r")
 
 
+def boundary(spark: SparkSession, path: str, sha256: str) -> DataFrame:
+    """name, rings and sha256 of each polygon of a frozen boundary file; a file of another content than was frozen raises where it is read.
+
+    The file's own hash is asked, so that neither a point nor a comment can have changed.
+    """
+    text = spark.read.text(path, wholetext=True).select(F.assert_true(F.sha2("value", 256) == sha256, F.lit("the boundary file isn't the frozen one")).alias("ok"))
+    rings = geojson_rings(spark, path).groupBy("name").agg(F.transform(F.sort_array(F.collect_list(F.struct("part", "ring", "line"))), lambda r: r["line"]).alias("rings"))  # as many as a country has
+    return rings.withColumn("one", F.lit(1)).join(text.select(F.lit(1).alias("one"), F.coalesce(F.col("ok").cast("string"), F.lit(sha256)).alias("sha256")), "one").drop("one")
+
+
 def geojson_feature(name: Column, rings: Column) -> Column:
     """A polygon as GeoJSON text, a point to a line, so that two versions compare line by line."""
     spell = lambda p: F.format_string("[%.7f, %.7f]", p["x"], p["y"])
     ring = lambda r: F.concat(F.lit("[\n"), F.array_join(F.transform(geo.closed(r), spell), ",\n"), F.lit("\n]"))
-    return F.concat(F.lit('{"type": "Feature", "properties": {"name": "'), name, F.lit('"}, "geometry": {"type": "Polygon", "coordinates": ['), F.array_join(F.transform(rings, ring), ",\n"), F.lit("]}}"))
+    return F.concat(F.lit('{"type": "Feature", "properties": '), F.to_json(F.struct(name.alias("name"))), F.lit(', "geometry": {"type": "Polygon", "coordinates": ['), F.array_join(F.transform(rings, ring), ",\n"), F.lit("]}}"))
 
 
 # ---------------------------------------------------------------- map objects
 
-OBJECTS = {
-    "nodes": "id long, lat double, lon double, tags map<string,string>",
-    "ways": "id long, refs array<long>, tags map<string,string>",
-    "relations": "id long, tags map<string,string>, members array<struct<type:string,ref:long,role:string>>",
-}
-
-
 def with_lines(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """ways with line: their nodes' places in order, null where a node is missing."""
     refs = ways.select("id", F.posexplode_outer("refs").alias("pos", "ref"))
