@@ -104,7 +104,7 @@ _ADMIN = f"""WITH p AS (SELECT c_custkey AS k, c_custkey % 4 AS kind, c_custkey
     h AS (SELECT a.a, min(p.k) AS held FROM a JOIN p ON p.name = a.name AND p.kind < 2 AND p.lon >= x - half AND p.lon < x + half AND p.lat >= y - half AND p.lat < y + half GROUP BY 1)"""
 
 
-@query("settlement_areas", "JN07 PIP02", f"{_ADMIN} SELECT 'n' || coalesce(labelled, held) AS osm, round(max(4 * half * half), 6) AS area FROM l LEFT JOIN h ON h.a = l.a WHERE coalesce(labelled, held) IS NOT NULL GROUP BY 1")
+@query("settlement_areas", "JN07 PIP02", f"{_ADMIN} SELECT 'n' || coalesce(labelled, held) AS osm, round(max(4 * half * half)::DOUBLE, 6) AS area FROM l LEFT JOIN h ON h.a = l.a WHERE coalesce(labelled, held) IS NOT NULL GROUP BY 1")
 def settlement_areas(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("s_suppkey")
     places = S.points(spark, d, "customer", "c_custkey").select(F.concat(F.lit("n"), "c_custkey").alias("osm"), F.when(F.col("c_custkey") % 4 == 0, "city").when(F.col("c_custkey") % 4 == 1, "town").otherwise("village").alias("kind"), "lat", "lon", _name(F.col("c_custkey")).alias("name"), F.lit(None).cast("array<array<struct<x:double,y:double>>>").alias("rings"))

@@ -178,7 +178,7 @@ _CAND = f"(SELECT p_partkey % 10 AS q, list_extract(['places', 'streets', 'addre
 @query("centre_penalty", "FTS13", f"""WITH c AS (SELECT * FROM {_CAND}), o AS (SELECT *, row_number() OVER (PARTITION BY q, tab ORDER BY nt DESC, main DESC) AS r FROM c WHERE tab IN ('streets', 'addresses') AND op), t AS (SELECT q, tab, nt, main FROM o WHERE r = 1),
     b AS (SELECT c.*, max(txt) OVER (PARTITION BY c.q, c.tab) AS best FROM c JOIN t ON t.q = c.q AND t.tab = c.tab AND t.nt = c.nt AND t.main = c.main WHERE op), z AS (SELECT q, tab, min(city) AS centre, max(main) AS cm FROM b WHERE txt >= best - 0.05 - 1e-9 GROUP BY 1, 2),
     p AS (SELECT s_suppkey % 23 AS city, min(s_suppkey) AS s FROM supplier GROUP BY 1)
-    SELECT c.q, c.tab AS "table", c.id, round(c.score - CASE WHEN op AND z.centre IS NOT NULL AND NOT ((c.city = z.centre OR {S.sql_metres(S.sql_lat('p.s'), S.sql_lon('p.s'), 'c.lat', 'c.lon')} <= 20000) AND c.main >= z.cm) THEN 0.1 ELSE 0 END, 6) AS score FROM c LEFT JOIN z ON z.q = c.q AND z.tab = c.tab LEFT JOIN p ON p.city = z.centre""")
+    SELECT c.q, c.tab AS "table", c.id, round(c.score - CASE WHEN op AND z.centre IS NOT NULL AND NOT ((c.city = z.centre OR coalesce({S.sql_metres(S.sql_lat('p.s'), S.sql_lon('p.s'), 'c.lat', 'c.lon')} <= 20000, false)) AND c.main >= z.cm) THEN 0.1 ELSE 0 END, 6) AS score FROM c LEFT JOIN z ON z.q = c.q AND z.tab = c.tab LEFT JOIN p ON p.city = z.centre""")
 def centre_penalty(spark: SparkSession, d: str) -> DataFrame:
     first = table(spark, d, "supplier").groupBy((F.col("s_suppkey") % 23).alias("city_id")).agg(F.min("s_suppkey").alias("s"))
     places = first.select("city_id", S.lat(F.col("s")).alias("c_lat"), S.lon(F.col("s")).alias("c_lon"), F.lit(20.0).alias("reach_km"))
