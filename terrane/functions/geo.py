@@ -179,6 +179,22 @@ def segments_cross(p: Column, q: Column, a: Column, b: Column) -> Column:
     return ((d1 * d2 < 0) & (d3 * d4 < 0)) | ((d1 == 0) & among(p, q, a)) | ((d2 == 0) & among(p, q, b)) | ((d3 == 0) & among(a, b, p)) | ((d4 == 0) & among(a, b, q))
 
 
+def ring_edges(rings: Column) -> Column:
+    """All edges of a polygon, for tests of many segments against it."""
+    return F.flatten(F.transform(rings, lambda ring: edges(closed(ring))))
+
+
+def within_sides(sides: Column, x: Column, y: Column) -> Column:
+    """Even-odd point in polygon, as `contains`, by all its edges."""
+    hit = lambda e: ((e["a"]["y"] > y) != (e["b"]["y"] > y)) & (x < (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"]) + e["a"]["x"])
+    return F.size(F.filter(sides, hit)) % 2 == 1
+
+
+def meets(sides: Column, p: Column, q: Column) -> Column:
+    """Whether a segment shares a point with one of a polygon's edges."""
+    return F.exists(sides, lambda e: segments_cross(p, q, e["a"], e["b"]))
+
+
 def segment_hits(rings: Column, p: Column, q: Column) -> Column:
     """Whether a segment touches a polygon: an end inside, or an edge met."""
     meets = F.exists(rings, lambda ring: F.exists(edges(closed(ring)), lambda e: segments_cross(p, q, e["a"], e["b"])))

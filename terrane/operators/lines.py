@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions import tags as T
 from ..functions.geo import let
+from ..runtime import checkpointed
 
 
 def good_runs(flags: Column) -> Column:
@@ -34,22 +35,24 @@ def judged(ways: DataFrame, rings: dict[str, Column], band_classes: tuple[str, .
     band_classes that is open to all cars. Of a way for four wheel drive only cars may enter for a destination.
     """
     xy = lambda p: p["x"].isNotNull() & p["y"].isNotNull() & ~F.isnan(p["x"]) & ~F.isnan(p["y"])
-    node = lambda f: F.transform("line", lambda p: F.coalesce(xy(p) & f(p), F.lit(False)))
-    inside = lambda zone: node(lambda p: geo.contains(rings[zone], p["x"], p["y"]))
+    node = lambda sides: F.transform("line", lambda p: F.coalesce(xy(p) & geo.within_sides(sides, p["x"], p["y"]), F.lit(False)))
+    inside = lambda zone: let(geo.ring_edges(rings[zone]), node)
     n = F.greatest(F.size("line") - 1, F.lit(0))
     pairs = lambda c, f: F.zip_with(F.slice(c, 1, n), F.slice(c, 2, n), f)
     w = ways.withColumn("country", inside("country")).withColumn("hard", inside("hard"))
     w = w.withColumn("ok", F.zip_with("country", "hard", lambda a, b: a & ~b)).withColumn("fine", pairs("ok", lambda a, b: a & b))
-    # the costly test only for segments whose ends are fine
-    whole = lambda e: geo.segment_within(rings["country"], e["a"], e["b"]) & ~geo.segment_hits(rings["hard"], e["a"], e["b"])
-    w = w.withColumn("segment_ok", F.zip_with("fine", geo.edges(F.col("line")), lambda fine, e: F.when(fine, whole(e)).otherwise(False)))
+    # only segments whose ends are fine are asked further; with ends inside, one that meets no edge of the country stays in it
+    whole = lambda c, h, e: (~geo.meets(c, e["a"], e["b"]) | geo.segment_within(rings["country"], e["a"], e["b"])) & ~geo.meets(h, e["a"], e["b"])
+    tested = lambda c, h: F.zip_with("fine", geo.edges(F.col("line")), lambda fine, e: F.when(fine, whole(c, h, e)).otherwise(False))
+    w = w.withColumn("segment_ok", let(geo.ring_edges(rings["country"]), lambda c: let(geo.ring_edges(rings["hard"]), lambda h: tested(c, h))))
     highway, route = T.tag(F.col("tags"), "highway"), T.tag(F.col("tags"), "route")
     access = T.car_access(F.col("tags"))
     w = w.withColumn("is_road", T.road_like(F.col("tags"))).withColumn("is_ferry", F.coalesce(route.isin(*T.FERRIES), F.lit(False))).withColumn("n_nodes", F.size("line"))
     w = w.withColumn("four", F.coalesce((T.tag(F.col("tags"), "4wd_only") == "yes") & (access == "yes"), F.lit(False)))
     banded = F.coalesce(highway.isin(*band_classes), F.lit(False)) & (access == "yes") & ~F.col("four")
-    touches = F.transform(geo.edges(F.col("line")), lambda e: F.coalesce(xy(e["a"]) & xy(e["b"]) & geo.segment_hits(rings["band"], e["a"], e["b"]), F.lit(False)))
-    w = w.withColumn("band", F.when(banded, touches).otherwise(F.array().cast("array<boolean>")))
+    touches = lambda b, ends: F.zip_with(ends, geo.edges(F.col("line")), lambda held, e: held | F.coalesce(xy(e["a"]) & xy(e["b"]) & geo.meets(b, e["a"], e["b"]), F.lit(False)))
+    ends = let(inside("band"), lambda flags: pairs(flags, lambda a, b: a | b))
+    w = w.withColumn("band", F.when(banded, let(geo.ring_edges(rings["band"]), lambda b: touches(b, ends))).otherwise(F.array().cast("array<boolean>")))
     return w.withColumn("any_hard", F.exists("hard", lambda x: x)).withColumn("any_outside", F.exists("country", lambda x: ~x))
 
 
@@ -70,7 +73,8 @@ def cut_ways(ways: DataFrame, fresh_from: int, mode: str = "cut") -> DataFrame:
     plain = lambda r: F.array(F.struct(r["first"].alias("first"), r["last"].alias("last"), F.lit(False).alias("flag")))
     pieces = F.flatten(F.transform(runs, lambda r: F.when((r["last"] > r["first"]) & F.col("is_road") & (F.size("band") > 0), banded(r)).otherwise(plain(r))))
     reason = F.when(F.size("runs") > 0, F.lit(None)).when(F.col("any_hard"), "no_go").when(F.col("any_outside"), "outside").otherwise("no_go")
-    cut = ways.withColumn("runs", pieces).withColumn("reason", reason)
+    # written down once, as fresh ids go through it several times
+    cut = checkpointed(ways.withColumn("runs", pieces).select("way", "runs", "any_hard", "any_outside").withColumn("reason", reason).select("way", "runs", "reason"))
     ids = fresh_ids(cut.select("way", F.greatest(F.size("runs") - 1, F.lit(0)).alias("extra")), "way", "extra", fresh_from)
     rows = cut.join(ids, "way").select("way", "reason", "fresh", F.posexplode_outer("runs").alias("piece", "r"))
     return rows.select("way", "piece", F.when(F.col("piece") == 0, F.col("way")).when(F.col("piece") > 0, F.col("fresh") + F.col("piece") - 1).alias("id"), F.col("r.first").alias("first"), F.col("r.last").alias("last"), F.col("r.flag").alias("band"), "reason")
