@@ -197,8 +197,7 @@ def meets(sides: Column, p: Column, q: Column) -> Column:
 
 def segment_hits(rings: Column, p: Column, q: Column) -> Column:
     """Whether a segment touches a polygon: an end inside, or an edge met."""
-    meets = F.exists(rings, lambda ring: F.exists(edges(closed(ring)), lambda e: segments_cross(p, q, e["a"], e["b"])))
-    return contains(rings, p["x"], p["y"]) | contains(rings, q["x"], q["y"]) | meets
+    return let(ring_edges(rings), lambda s: within_sides(s, p["x"], p["y"]) | within_sides(s, q["x"], q["y"]) | meets(s, p, q))
 
 
 def segment_within(rings: Column, p: Column, q: Column) -> Column:
