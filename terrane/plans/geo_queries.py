@@ -484,13 +484,27 @@ def greedy_dedup(spark: SparkSession, d: str) -> DataFrame:
     return graph.greedy_dedup(rows, "key", 1500.0)
 
 
-@query("ring_assembly", "ARR05")
-def ring_assembly(spark: SparkSession, d: str) -> DataFrame:
-    """Suppliers as relations of three ways, one of them reversed, that close a ring of six nodes."""
+def _ring_members(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as relations of three ways, one of them reversed, that close a ring of six nodes; every fifth stays open."""
     k = F.col("s_suppkey") * 10
     ways = F.array(F.array(k, k + 1, k + 2), F.array(k + 4, k + 3, k + 2), F.array(k + 4, k + 5, F.when(F.col("s_suppkey") % 5 > 0, k).otherwise(k + 6)))
-    m = table(spark, d, "supplier").select(F.col("s_suppkey").alias("relation"), F.posexplode(ways).alias("pos", "nodes")).withColumn("way", F.col("relation") * 10 + F.col("pos"))
-    return graph.assemble_rings(m)
+    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("relation"), F.posexplode(ways).alias("pos", "nodes")).withColumn("way", F.col("relation") * 10 + F.col("pos"))
+
+
+@query("ring_assembly", "ARR05", """SELECT s_suppkey AS relation, CASE WHEN s_suppkey % 5 > 0 THEN 0 END::BIGINT AS ring, CASE WHEN s_suppkey % 5 > 0 THEN 7 END AS nodes, CASE WHEN s_suppkey % 5 = 0 THEN s_suppkey * 10 || ',' || (s_suppkey * 10 + 1) || ',' || (s_suppkey * 10 + 2) END AS loose,
+    CASE WHEN s_suppkey % 5 > 0 THEN s_suppkey * 60 + 15 END::BIGINT AS total FROM supplier""")
+def ring_assembly(spark: SparkSession, d: str) -> DataFrame:
+    """Rings by how many nodes they have and the sum of the different ones, and the ways that close none."""
+    rows = graph.assemble_rings(_ring_members(spark, d))
+    total = F.aggregate(F.array_distinct("nodes"), F.lit(0).cast("long"), lambda s, x: s + x)
+    return rows.select("relation", "ring", F.when(F.col("nodes").isNotNull(), F.size("nodes")).alias("nodes"), F.when(F.col("loose").isNotNull(), F.array_join("loose", ",")).alias("loose"), total.alias("total"))
+
+
+@query("ring_strict", "ARR06", "SELECT s_suppkey AS relation, 7 AS nodes FROM supplier WHERE s_suppkey % 5 > 0")
+def ring_strict(spark: SparkSession, d: str) -> DataFrame:
+    """Relations that must close: one with a loose end would raise, so only those that close are asked."""
+    rows = graph.assemble_rings(_ring_members(spark, d).where("relation % 5 > 0"), strict=True)
+    return rows.select("relation", F.size("nodes").alias("nodes"))
 
 
 @query("shortest_path", "PIP08 PIP07")

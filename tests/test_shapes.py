@@ -145,3 +145,10 @@ def test_near_boxes_like_all_pairs(spark):
                 if math.hypot(dx, dy) <= 1500:
                     want.add((a[0], b[0]))
     assert got == want
+
+
+def test_strict_rings_name_the_loose_end(spark):
+    rows = spark.createDataFrame([(1, 0, 10, [1, 2, 3]), (1, 1, 11, [3, 4])], "relation long, pos int, way long, nodes array<long>")
+    assert graph.assemble_rings(rows).first().loose == [10, 11]
+    with pytest.raises(Exception, match="node 3|node 4"):
+        graph.assemble_rings(rows, strict=True).collect()
