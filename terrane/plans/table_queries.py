@@ -53,9 +53,9 @@ def anti_join(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select("c_custkey").join(o, "c_custkey", "left_anti")
 
 
-@query("postings_join", "JN12 Q3 Q4 Q5", "SELECT q, p_partkey FROM (SELECT w.q, p_partkey, row_number() OVER (PARTITION BY w.q ORDER BY p_retailprice DESC, p_partkey) rn FROM part JOIN (VALUES ('red'), ('blue'), ('green')) w(q) ON list_contains(string_split(p_name, ' '), w.q) WHERE p_size BETWEEN 10 AND 40) WHERE rn <= 8")
+@query("postings_join", "JN12 Q3 Q4 Q5", "SELECT q, p_partkey FROM (SELECT w.q, p_partkey, row_number() OVER (PARTITION BY w.q ORDER BY p_retailprice DESC, p_partkey) rn FROM part JOIN (VALUES ('red'), ('blue'), ('green')) w(q) ON list_contains(string_split(p_name, ' '), w.q)) WHERE rn <= 8")
 def postings_join(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part").where("p_size between 10 and 40")
+    p = table(spark, d, "part")
     index = p.select("p_partkey", "p_retailprice", F.explode(F.array_distinct(F.split("p_name", " "))).alias("q"))
     hits = index.where(F.col("q").isin("red", "blue", "green"))
     return rank.top_per_group(hits, ["q"], [F.col("p_retailprice").desc(), F.col("p_partkey").asc()], 8).select("q", "p_partkey")
