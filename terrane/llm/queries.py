@@ -88,6 +88,32 @@ def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"), label=label)
 
 
+#: Each string of 50 bytes (as its hexadecimal form's digest) with the smallest doc_id that it starts in; texts are taken in parts, as places in long ones are dear.
+_REPEATS = """
+with docs as (
+  select row_number() over (order by doc_id) as n, doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), sized as (
+  select n, doc_id, h, length(h) // 2 as n_bytes from docs
+), parts as (
+  select n, doc_id, c, h[2 * c + 1 : 2 * c + 698] as part from (select *, unnest(range(0, n_bytes - 49, 300)) as c from sized where n_bytes >= 50)
+), strings as (
+  select n, doc_id, c + q as p, md5_number(part[2 * q + 1 : 2 * q + 100]) as s
+  from (select *, unnest(range(least(300, length(part) // 2 - 49))) as q from parts)
+), found as (
+  select n, p from (select n, doc_id, p, min(doc_id) over (partition by s) as earliest from strings) where doc_id > earliest
+), runs as (
+  select n, p, case when p <= lag(p) over (partition by n order by p) + 50 then 0 else 1 end as fresh from found
+), spans as (
+  select n, min(p) as a, max(p) + 50 as b from (select n, p, sum(fresh) over (partition by n order by p) as run from runs) group by n, run
+), edges as (
+  select n, a, b, lag(b, 1, 0) over (partition by n order by a) as before from spans
+), kept as (
+  select n, string_agg(h[2 * before + 1 : 2 * a], '' order by a) as head, max(b) as tail, sum(b - a) as n_removed, count(*) as n_spans from edges join sized using (n) group by n
+)
+select doc_id, n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(head, '') || h[2 * coalesce(tail, 0) + 1 :])) as kept_sha256
+from sized left join kept using (n)
+"""
+
 #: Every pair of an anchor and another row is scored here, which DuckDB does in time on the tables that the twins run on.
 _NEGATIVES = """
 with rows as (
@@ -121,4 +147,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_whitening": op12_whitening,
     "op13_negatives": op13_negatives,
 }
-ORACLE_SQL: dict[str, str] = {"op13_negatives": _NEGATIVES}
+ORACLE_SQL: dict[str, str] = {"op11_suffixes": _REPEATS, "op13_negatives": _NEGATIVES}

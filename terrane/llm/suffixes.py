@@ -198,6 +198,8 @@ def multikey(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n, levels = words.shape
     order = np.argsort(words[:, 0], kind="stable")
     common = np.zeros(n, np.int64)
+    if not n:
+        return order, common
     active, run = np.arange(n), np.zeros(n, np.int64)  # places in the order that are still tied, and the run of ties of each
     for level in range(levels):
         w = words[order[active], level]
