@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
@@ -29,13 +30,12 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a reliable checkpoint in the shared folder that spark.checkpoint.dir names.
+def _shared(sc: SparkContext) -> str:
+    """The shared folder of the session, set as its checkpoint folder too.
 
     Where a session names none, a folder of our own does for a local master, whose tasks share our disk;
     on a cluster executors couldn't read it, so that is an error.
     """
-    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
         if not folder:
@@ -43,4 +43,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="terrane-checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts lineage with a reliable checkpoint in the shared folder that spark.checkpoint.dir names."""
+    _shared(df.sparkSession.sparkContext)
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this application under the one that spark.checkpoint.dir names, which all executors share, for tables that are written once and read often."""
+    sc = spark.sparkContext
+    folder = _shared(sc)
+    return f"{folder.rstrip('/')}/{sc.applicationId}-{name}"
