@@ -48,7 +48,7 @@ RUN = LENGTH - WORD + 1
 #: Bytes that a record has room for, right and left of its anchor, and how many of them tell ranges apart.
 RIGHT, LEFT, LEAD = 56, 48, 24
 #: Bytes of text that a task looks at together, and hands on together; bytes of text for each bucket.
-SLICE, FLUSH, BUCKET = 4_000_000, 16_000_000, 8_000_000
+SLICE, FLUSH, BUCKET = 2_000_000, 10_000_000, 8_000_000
 #: Sampled anchors for each bucket; buckets at most, so that splitters take 24 MB at most (beyond, buckets grow).
 SAMPLED, MOST_BUCKETS = 40, 1_000_000
 #: Of the anchors of a sampled document, one in so many.
@@ -144,30 +144,30 @@ class Records:
         return np.stack([self.doc, self.tag, self.pos - high, self.pos - low], 1)
 
 
-def _hashes(right: np.ndarray, left: np.ndarray) -> np.ndarray:
-    h = np.zeros(len(right), np.uint64)
-    for words, odd in ((right, _ODD), (left, _ODD[RIGHT // 8 :])):
+def _hashes(parts: list[np.ndarray]) -> np.ndarray:
+    h = np.zeros(len(parts[0]), np.uint64)
+    for words in parts:
         for i in range(words.shape[1]):
             x = words[:, i] ^ (words[:, i] >> np.uint64(29))
-            h ^= x * odd[i]
+            h ^= x * _ODD[i]
             h = (h << np.uint64(23)) | (h >> np.uint64(41))
-            h *= odd[i]
+            h *= _ODD[i + 8]
     return h ^ (h >> np.uint64(32))
 
 
-def groups(right: np.ndarray, left: np.ndarray, hashes=_hashes) -> tuple[np.ndarray, np.ndarray]:
-    """An order in which equal rows stand together, and where in it groups of equal rows begin.
+def groups(parts: list[np.ndarray], hashes=_hashes) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal rows (of all parts side by side) stand together, and where in it groups of equal rows begin.
 
     Rows are put together by a hash and compared word by word; where one hash stands for several, they are sorted instead.
     """
-    h = hashes(right, left)
+    h = hashes(parts)
     order = np.argsort(h, kind="stable")
     s = h[order]
     new = np.concatenate([[True], s[1:] != s[:-1]])[: len(s)]
     tied = np.flatnonzero(~new)
-    alike = (right[order[tied]] == right[order[tied - 1]]).all(1) & (left[order[tied]] == left[order[tied - 1]]).all(1)
-    if not alike.all():
-        words = np.concatenate([right, left], 1)
+    a, b = order[tied], order[tied - 1]
+    if not all((p[a] == p[b]).all() for p in parts):
+        words = np.concatenate(parts, 1)
         order = np.lexsort(words.T[::-1])
         new = np.concatenate([[True], (words[order[1:]] != words[order[:-1]]).any(1)])
     return order, np.flatnonzero(new)
@@ -183,11 +183,10 @@ def least(doc: np.ndarray, order: np.ndarray, heads: np.ndarray) -> np.ndarray:
 
 def settle_equal(r: Records) -> tuple[Records, np.ndarray]:
     """Of equal records those of the smallest key stay; the strings of the others are found."""
-    tail = np.stack([r.low, r.high], 1).astype(np.uint64)
-    order, heads = groups(r.right, np.concatenate([r.left, tail], 1))
+    order, heads = groups([r.right, r.left, np.stack([r.low, r.high], 1).astype(np.uint64)])
     later = r.doc > least(r.doc, order, heads)
     gone = r.take(later)
-    return r.take(~later), gone.found(gone.low, gone.high)
+    return r.take(~later) if len(gone) else r, gone.found(gone.low, gone.high)
 
 
 def multikey(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -276,14 +275,13 @@ def settle(r: Records, splitters: list[np.ndarray], hashes=_hashes) -> tuple[np.
         r, low, high = r.take(may[keep]), low[keep], high[keep]
     if len(r):
         # equal records have equal bounds, so those of later documents are found as a whole
-        tail = np.stack([low, high], 1).astype(np.uint64)
-        order, heads = groups(r.right, np.concatenate([r.left, tail, r.low[:, None].astype(np.uint64), r.high[:, None].astype(np.uint64)], 1), hashes)
+        order, heads = groups([r.right, r.left, np.stack([low, high, r.low, r.high], 1).astype(np.uint64)], hashes)
         later = r.doc > least(r.doc, order, heads)
         gone = r.take(later)
         found.append(gone.found(low[later], high[later]))
         r, low, high = r.take(~later), low[~later], high[~later]
         for o, at in _strings(r, low, high):
-            order, heads = groups(r.right[at] & _RIGHT[LENGTH - o], r.left[at] & _LEFT[o], hashes)
+            order, heads = groups([r.right[at] & _RIGHT[LENGTH - o], r.left[at] & _LEFT[o]], hashes)
             hit = at[r.doc[at] > least(r.doc[at], order, heads)]
             if len(hit):
                 own = r.take(hit)
@@ -319,7 +317,7 @@ def packed(r: Records, z: zstandard.ZstdCompressor) -> bytes:
     text = both[_cover(r.low, r.high)]
     parts = [
         text.tobytes(), r.low.tobytes(), r.high.tobytes(), _planes(of.ravel().astype("<u4")), _planes(r.pos.astype("<u8")),
-        _planes(np.diff(keys[:, 0], prepend=0).astype("<i8")), _planes(keys[:, 1].astype("<i8")),
+        _planes(np.diff(keys[:, 0], prepend=0).astype("<i8")), _planes(keys[:, 1].astype("<u4")),
     ]
     return pickle.dumps([z.compress(p) for p in parts], protocol=5)
 
@@ -335,13 +333,13 @@ def unpacked(blob: bytes, z: zstandard.ZstdDecompressor) -> Records:
     both[_cover(low, high)] = np.frombuffer(text, np.uint8)
     words = both.view(np.uint64)
     of = _unplaned(of, "<u4")
-    doc, tag = np.cumsum(_unplaned(doc, "<i8")), _unplaned(tag, "<i8")
+    doc, tag = np.cumsum(_unplaned(doc, "<i8")), _unplaned(tag, "<u4").astype(np.int64)
     return Records(words[:, : RIGHT // 8], words[:, RIGHT // 8 :], low, high, doc[of], tag[of], _unplaned(pos, "<u8").astype(np.int64))
 
 
 def _tag(data: memoryview) -> int:
-    """Tells rows of one key apart: 48 bits of a hash of the text."""
-    return xxhash.xxh3_64_intdigest(data) >> 16
+    """Tells rows of one key apart: 32 bits of a hash of the text."""
+    return xxhash.xxh32_intdigest(data)
 
 
 def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -422,11 +420,13 @@ def repeated(docs: DataFrame) -> DataFrame:
     splitters = _sample(docs, total, buckets) if buckets > 1 else np.empty((0, LEAD // 8), np.uint64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdCompressor(1)
+        z = zstandard.ZstdCompressor(3)
         held: list[Records] = []
 
         def out() -> Iterator[pa.RecordBatch]:
-            r, found = settle_equal(Records.joined(held))
+            r = Records.joined(held)
+            held.clear()
+            r, found = settle_equal(r)
             lead = _prefixes(r)
             of = _bucket(lead, splitters)
             order = np.lexsort((lead[:, 0], of))
@@ -443,7 +443,7 @@ def repeated(docs: DataFrame) -> DataFrame:
                 size += len(r)
             if size * 20 >= FLUSH:
                 yield from out()
-                held, size = [], 0
+                size = 0
         if held:
             yield from out()
 

@@ -120,7 +120,7 @@ def test_equal_hashes_of_different_strings(spark):
     ends = np.cumsum([len(t) for _, t in docs])
     own = np.diff(ends, prepend=0) > 0
     r = suffixes.Records.of(data, (ends - np.diff(ends, prepend=0))[own], ends[own], np.array([k for k, _ in docs])[own], np.arange(len(docs))[own], np.zeros(own.sum(), np.int64))
-    flat = lambda right, left: np.zeros(len(right), np.uint64)
+    flat = lambda parts: np.zeros(len(parts[0]), np.uint64)
     good, bad = suffixes.settle(r, [])[0], suffixes.settle(r, [], flat)[0]
     assert len(good) and (good == bad).all()
 
@@ -128,7 +128,7 @@ def test_equal_hashes_of_different_strings(spark):
 def test_records_travel_whole():
     rng = random.Random(2)
     data = np.frombuffer(bytes(rng.choice(b"abcd") for _ in range(900)), np.uint8)
-    r = suffixes.Records.of(data, np.array([0, 300]), np.array([300, 900]), np.array([-5, 1 << 60]), np.array([3, 1 << 47]), np.zeros(2, np.int64))
+    r = suffixes.Records.of(data, np.array([0, 300]), np.array([300, 900]), np.array([-5, 1 << 60]), np.array([3, 1 << 31]), np.zeros(2, np.int64))
     back = suffixes.unpacked(suffixes.packed(r, suffixes.zstandard.ZstdCompressor(1)), suffixes.zstandard.ZstdDecompressor())
     assert all((getattr(r, f) == getattr(back, f)).all() for f in suffixes.Records.fields)
     assert suffixes.merged_spans(np.array([5, 0, 60]), np.array([55, 50, 70])) == [(0, 55), (60, 70)]
