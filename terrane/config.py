@@ -58,3 +58,27 @@ class SearchConfig:
     local_box_deg: float = 0.3
     limit: int = 10
     categories: tuple[tuple[str, str], ...] = (("petrol", "fuel"), ("fuel", "fuel"), ("cafe", "cafe"), ("restaurant", "cafe"), ("hotel", "hotel"))
+    #: Of a category's word, starts that aren't it (a park is no car park), and what a kind must have besides.
+    not_starts: tuple[tuple[str, str], ...] = ()
+    attributes: tuple[tuple[str, str], ...] = ()
+    per_category: int = 20
+    near_km_of: tuple[tuple[str, float], ...] = ()
+    #: Words for kinds of streets by group, those of lanes, and what they count.
+    type_groups: tuple[tuple[str, tuple[str, ...]], ...] = (("street", ("street", "avenue", "ქუჩა", "გამზირი", "улица", "проспект")), ("road", ("highway", "road", "გზატკეცილი", "шоссе")), ("district", ("district", "რაიონი", "район")))
+    lane_words: tuple[str, ...] = ("lane", "dead end", "შესახვევი", "ჩიხი", "переулок", "тупик")
+    type_conflict: float = 0.7
+    lane_factor: float = 0.9
+    initial_bonus: float = 0.03
+    #: What a row gains or loses beside its text: in the named settlement, a street that only has a place's name, a number that no name has.
+    city_bonus: float = 0.1
+    named_like_place: float = 0.8
+    number_not_in_name: float = 0.6
+    class_prior: tuple[tuple[str, float], ...] = (("primary", 0.02), ("secondary", 0.01))
+    elsewhere_penalty: float = 0.1
+    elsewhere_margin: float = 0.05
+    settlements: tuple[str, ...] = ("city", "town", "village", "hamlet", "suburb")
+    features: tuple[str, ...] = ("peak", "border_control")
+    exact_groups: tuple[str, ...] = ("district",)
+    reach_km: tuple[tuple[str, float], ...] = (("city", 15.0), ("town", 8.0), ("village", 4.0), ("hamlet", 3.0), ("suburb", 3.0))
+    anchor_same_km: float = 15.0
+    anchor_least_text: float = 0.9

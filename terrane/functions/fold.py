@@ -273,6 +273,8 @@ class Parsed:
     optional: list[Token] = field(default_factory=list)
     initials: list[str] = field(default_factory=list)
     dropped: list[str] = field(default_factory=list)
+    #: Required and optional words as they were typed.
+    typed: list[Token] = field(default_factory=list)
 
     @property
     def tokens(self) -> list[Token]:
@@ -433,6 +435,7 @@ class Folder:
             out.dropped += [raw for raw, _ in codes]
             words = [w for w in words if not any(w is x for x in codes)]
         made = [self._token(*w) for w in words]
+        out.typed = made
         out.required, out.optional = [t for t in made if not t.is_type], [t for t in made if t.is_type]
         if not out.required:
             out.required, out.optional = out.optional, []

@@ -145,6 +145,11 @@ def config_problems(cfg: BuildConfig | SearchConfig) -> list[str]:
     return sorted(out)
 
 
+def timed(rows: DataFrame, milliseconds: float, searches: int, most: float) -> DataFrame:
+    """rows with in_time: whether searches that were made together took no longer, each, than they may."""
+    return rows.withColumn("in_time", F.lit(milliseconds <= most * max(1, searches)))
+
+
 def describe(hits: DataFrame) -> DataFrame:
     """What is shown of a hit: its label, whether it can be driven to, and why not."""
     label = F.coalesce("label_ka", "name", "name_en")
