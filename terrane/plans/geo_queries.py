@@ -432,7 +432,7 @@ def clip_keeps_clear(spark: SparkSession, d: str) -> DataFrame:
     return kept.agg(F.count(F.lit(1)).alias("pieces"), F.count_if(geo.line_hits(S.zone_rings()["hard"], line)).alias("hits"))
 
 
-@query("four_wheel_rule", "FLT13", "SELECT l_orderkey AS way, l_orderkey % 13 = 0 AND l_orderkey % 7 <> 0 AND (l_orderkey % 11 > 0 OR l_orderkey % 50 = 0) AS destination FROM (SELECT DISTINCT l_orderkey FROM lineitem)")
+@query("four_wheel_rule", "", "SELECT l_orderkey AS way, l_orderkey % 13 = 0 AND l_orderkey % 7 <> 0 AND (l_orderkey % 11 > 0 OR l_orderkey % 50 = 0) AS destination FROM (SELECT DISTINCT l_orderkey FROM lineitem)")
 def four_wheel_rule(spark: SparkSession, d: str) -> DataFrame:
     """Ways for four wheel drive that are open to all cars become destination-only."""
     return lines.judged(_clip_ways(spark, d), S.zone_rings(), BAND_CLASSES).select("way", F.col("four").alias("destination"))
@@ -507,7 +507,7 @@ def ring_strict(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("relation", F.size("nodes").alias("nodes"))
 
 
-@query("shortest_path", "PIP08 PIP07")
+@query("shortest_path", "PIP08")
 def shortest_path(spark: SparkSession, d: str) -> DataFrame:
     seg = table(spark, d, "orders").select((F.col("o_custkey") % 40).cast("string").alias("section"), (F.col("o_orderkey") % 17).alias("a"), (F.col("o_orderkey") * 7 % 17).alias("b"), (F.col("o_totalprice") / 100).alias("metres"), (F.col("o_orderkey") % 9 * 10 + 20).cast("int").alias("maxspeed"))
     rows = seg.withColumn("edge", F.lit(0)).withColumn("start", F.lit(1).cast("long")).withColumn("goal", F.lit(5).cast("long")).withColumn("gap", F.lit(40_000.0))

@@ -421,7 +421,7 @@ def mvt_decode(spark: SparkSession, d: str) -> DataFrame:
     return src.features(tiles, ("place",)).select("tile_id", "layer", "kind", F.col("props")["name"].alias("name"), F.size("geom").alias("numbers"))
 
 
-@query("polyline_decode", "SRC11 SRC10")
+@query("polyline_decode", "SRC11")
 def polyline_decode(spark: SparkSession, d: str) -> DataFrame:
     """Ways written as encoded lines by SQL, and read back."""
     w = S.ways(spark, d).select("way", "line")

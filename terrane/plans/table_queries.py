@@ -178,7 +178,7 @@ def composite_order(spark: SparkSession, d: str) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order))).select("o_orderkey", "rank")
 
 
-@query("first_of_n", "SRT07 GTE09", "SELECT q, bool_or(hit AND rn <= 3) AS passed FROM (SELECT p_brand AS q, p_size > 45 AS hit, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rn FROM part) GROUP BY q")
+@query("first_of_n", "SRT07", "SELECT q, bool_or(hit AND rn <= 3) AS passed FROM (SELECT p_brand AS q, p_size > 45 AS hit, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rn FROM part) GROUP BY q")
 def first_of_n(spark: SparkSession, d: str) -> DataFrame:
     top = rank.top_per_group(table(spark, d, "part"), ["p_brand"], [F.col("p_retailprice").desc(), F.col("p_partkey").asc()], 3)
     return top.groupBy(F.col("p_brand").alias("q")).agg(F.bool_or(F.col("p_size") > 45).alias("passed"))
@@ -238,7 +238,7 @@ _ORDER_TAGS = """(SELECT o_orderkey AS way, list_extract(['motorway','trunk','pr
     CASE o_custkey % 7 WHEN 0 THEN 'private' WHEN 1 THEN 'no' WHEN 2 THEN 'agricultural;destination' ELSE 'yes' END AS access, CASE o_custkey % 11 WHEN 0 THEN 'no' WHEN 1 THEN 'delivery' ELSE '' END AS mv, o_orderkey % 9 * 10 + 20 AS speed, o_orderkey % 5 AS unit FROM orders)"""
 
 
-@query("match_tags_any", "FLT01 FLT02 FLT09 SRC02 SRC04 Q7", f"SELECT way, (highway IN ('primary', 'trunk') AND oneway = 'yes') OR access LIKE '%destination%' AS matched, mv = '' AS no_vehicle_key FROM {_ORDER_TAGS}")
+@query("match_tags_any", "FLT01 FLT02 FLT09 Q7", f"SELECT way, (highway IN ('primary', 'trunk') AND oneway = 'yes') OR access LIKE '%destination%' AS matched, mv = '' AS no_vehicle_key FROM {_ORDER_TAGS}")
 def match_tags_any(spark: SparkSession, d: str) -> DataFrame:
     t = S.order_tags(spark, d)
     rule = [{"highway": ["primary", "trunk"], "oneway": ["yes"]}, {"access": ["destination"]}]
