@@ -414,7 +414,7 @@ def test_attention_carries_the_score(spark, docs):
     known = attention.shares(attention.subword_pairs(attention.word_counts(rows), WORDS), texts, WORDS)
     sums = np.stack([np.bincount(known.classes, 10.0**row, attention.CLASSES) for row in known.logs])
     assert np.allclose(sums[:, ~known.empty], 1, atol=1e-3)
-    m = attention.fit(rows, known, WORDS, sum(len((r.text or "").split()) for r in rows.collect()))
+    m = attention.fit(rows, known, WORDS)
     ids = [np.append(np.frombuffer(x, "<u4"), attention.END).astype(np.int64) for x in tool(WORDS)([(t or "").lower() for t in held])]
     starts = np.cumsum([0, *map(len, ids)])[:-1]
     mean = lambda model: float(attention.Scorer(model, known)(np.concatenate(ids), starts).mean())

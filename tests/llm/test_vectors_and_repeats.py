@@ -10,7 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terrane.llm import negatives, queries, suffixes, whitening
+import public_tokenizers as P
+
+from terrane.llm import attention, negatives, queries, suffixes, whitening
 from terrane.llm.common import table
 
 DATA = "/root/testdata/sf0.001"
@@ -250,3 +252,13 @@ def test_trees_prune_and_lose_nothing():
         s = (x @ x[j]).astype(np.int64)
         want = [i for i in np.lexsort((np.arange(len(x)), -s)) if labels[i] != labels[j] and s[i] <= ask.high[j]][:10]
         assert ids[q == j].tolist() == want and scores[q == j].tolist() == s[want].tolist()
+
+
+# ---------------------------------------------------------------- 9
+
+
+def test_share_of_trained_words_is_the_same_at_every_size(spark):
+    """Ten times the texts give ten times the windows."""
+    texts = [(" ".join(f"w{(i * 7 + j) % 50}" for j in range(1600)),) for i in range(30)]
+    count = lambda n: attention.training_windows(spark.createDataFrame(texts[:n], "text string"), P.path("word_bpe_49k.json"), "text", attention.EVERY).count()
+    assert count(3) == 3 * 1600 // attention.EVERY and count(30) == 10 * count(3)
