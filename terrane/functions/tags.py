@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,19 +62,18 @@ def road_like(tags: Column) -> Column:
     return tag(tags, "highway").isNotNull() | F.coalesce(tag(tags, "route").isin(*FERRIES), F.lit(False))
 
 
+def _holds(value: Column, listed: tuple[str, ...]) -> Column:
+    """Whether a value or a part of a `;` list is listed; null for no value. One expression without lambdas, as it runs for every way."""
+    return value.rlike(f"(^|;)({'|'.join(map(re.escape, listed))})(;|$)")
+
+
 def _any_in(value: Column, yes: tuple[str, ...], no: tuple[str, ...]) -> Column:
-    """true, false or null for a value or `;` list: of a list a yes wins wherever it stands, else the last known part counts."""
-    parts = F.filter(F.split(value, ";"), lambda v: v.isin(*yes, *no))
-    last = F.get(parts, F.size(parts) - 1)
-    return F.when(value.isin(*yes), True).when(value.isin(*no), False).when(F.exists(parts, lambda v: v.isin(*yes)), True).when(F.size(parts) > 0, last.isin(*yes))
+    """true, false or null for a value or `;` list: of a list a yes wins wherever it stands, then a no."""
+    return F.when(_holds(value, yes), True).when(_holds(value, no), False)
 
 
 def car_access(tags: Column) -> Column:
     """'no', 'destination' or 'yes': the road's class or ferry allows, bans clear it, the nearest vehicle key overrides, private values make it destination-only."""
-    return let(tags, _car_access)
-
-
-def _car_access(tags: Column) -> Column:
     highway = tag(tags, "highway")
     allowed = F.coalesce(highway.isin(*CAR_ROADS), F.lit(False)) | F.coalesce(tag(tags, "route").isin(*FERRIES), F.lit(False))
     ban = (F.coalesce(tag(tags, "impassable"), F.lit("")) == "yes") | (F.coalesce(tag(tags, "smoothness"), F.lit("")) == "impassable")
@@ -81,14 +82,14 @@ def _car_access(tags: Column) -> Column:
     can = F.coalesce(override, allowed & ~ban)
     private = F.lit(False)
     for k in ("access", "motor_vehicle", "motorcar", "vehicle"):
-        private = private | F.coalesce(F.exists(F.split(tag(tags, k), ";"), lambda v: v.isin(*PRIVATE)), F.lit(False))
+        private = private | F.coalesce(_holds(tag(tags, k), PRIVATE), F.lit(False))
     return F.when(F.coalesce(highway, F.lit("")) == "construction", "no").when(~can, "no").when(private, "destination").otherwise("yes")
 
 
 def destination_only(tags: Column) -> Column:
     """Tags that let cars in only for a destination; a way that is shut stays as it is."""
     closed = lambda t: F.map_concat(F.map_filter(t, lambda k, _: k != "motorcar"), F.create_map(F.lit("motorcar"), F.lit("destination")))
-    return let(tags, lambda t: F.when(_car_access(t) == "yes", closed(t)).otherwise(t))
+    return F.when(car_access(tags) == "yes", closed(tags)).otherwise(tags)
 
 
 def maxspeed(value: Column, zones: dict[str, int] | None = None, low: int = 5, high: int = 150) -> Column:

@@ -254,7 +254,8 @@ def first_rule(spark: SparkSession, d: str) -> DataFrame:
 @query("car_access", "PRJ04 PRJ05", f"SELECT way, CASE WHEN mv = 'no' THEN 'no' WHEN mv <> 'delivery' AND access = 'no' THEN 'no' WHEN mv = 'delivery' OR access = 'private' OR access LIKE '%destination%' THEN 'destination' ELSE 'yes' END AS access, CASE WHEN mv = 'no' OR (mv <> 'delivery' AND access = 'no') THEN 'no' ELSE 'destination' END AS after_closing FROM {_ORDER_TAGS}")
 def car_access(spark: SparkSession, d: str) -> DataFrame:
     t = S.order_tags(spark, d)
-    return t.select("way", T.car_access(F.col("tags")).alias("access"), T.car_access(T.destination_only(F.col("tags"))).alias("after_closing"))
+    shut = t.select("way", "tags", T.car_access(F.col("tags")).alias("access"), T.destination_only(F.col("tags")).alias("shut"))
+    return shut.select("way", "access", T.car_access(F.col("shut")).alias("after_closing"))
 
 
 @query("speed_parse", "STR18", f"SELECT way, CASE WHEN k BETWEEN 5 AND 150 THEN k END::INT AS kmh FROM (SELECT way, CASE WHEN unit = 0 THEN round_even(speed * 1.609344, 0) ELSE speed END AS k FROM {_ORDER_TAGS})")
