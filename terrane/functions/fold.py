@@ -19,22 +19,26 @@ from .geo import let
 
 # Letters to Latin, rewrites, endings and word lists of the fold. They must equal the
 # ones that names are indexed with, or nothing is found.
-GEORGIAN = dict(
-    zip(
-        "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰჱჲჳჴჵჶჷჸჹჺჼჽჾჿ",
-        "a b g d e v z t i k l m n o p zh r s t u p k gh q sh ch ts dz ts ch kh j h e i u kh o p e - g - n - - -".replace("-", "").split(" "),
-        strict=True,
-    )
-)
-CYRILLIC = dict(
-    zip(
-        "абвгдежзиклмнопрстуфхцчшщъыьэюяіїєґўјџәҟҳҭҵҷҿҽӡҩҧԥҕӷӂқңҙҫӏөүұһ",
-        "a b v g d e zh z i k l m n o p r s t u f kh ts ch sh shch - i - e iu ia i i e g u j j a k kh t ts ch ch ch dz u p p g g zh k n z s - o u u h".replace("-", "").split(" "),
-        strict=True,
-    )
-)
-LATIN_SPECIAL = dict(zip("šžčǯʒǧğşçəıłøæœßʁɣħđðþŋ", "sh zh ch j dz g g sh ch e i l o a oe ss g gh h d d th n".split(), strict=True))
-CHAT = dict(zip("TSCWZJR", "თშჩჭძჟღ", strict=True))
+GEORGIAN = {
+    "ა": "a", "ბ": "b", "გ": "g", "დ": "d", "ე": "e", "ვ": "v", "ზ": "z", "თ": "t", "ი": "i", "კ": "k", "ლ": "l", "მ": "m", "ნ": "n", "ო": "o",
+    "პ": "p", "ჟ": "zh", "რ": "r", "ს": "s", "ტ": "t", "უ": "u", "ფ": "p", "ქ": "k", "ღ": "gh", "ყ": "q", "შ": "sh", "ჩ": "ch", "ც": "ts", "ძ": "dz",
+    "წ": "ts", "ჭ": "ch", "ხ": "kh", "ჯ": "j", "ჰ": "h", "ჱ": "e", "ჲ": "i", "ჳ": "u", "ჴ": "kh", "ჵ": "o", "ჶ": "p", "ჷ": "e", "ჸ": "", "ჹ": "g",
+    "ჺ": "", "ჼ": "n", "ჽ": "", "ჾ": "", "ჿ": "",
+}
+CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o",
+    "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "", "ы": "i", "ь": "",
+    "э": "e", "ю": "iu", "я": "ia", "і": "i", "ї": "i", "є": "e", "ґ": "g", "ў": "u", "ј": "j", "џ": "j", "ә": "a", "ҟ": "k", "ҳ": "kh", "ҭ": "t",
+    "ҵ": "ts", "ҷ": "ch", "ҿ": "ch", "ҽ": "ch", "ӡ": "dz", "ҩ": "u", "ҧ": "p", "ԥ": "p", "ҕ": "g", "ӷ": "g", "ӂ": "zh", "қ": "k", "ң": "n", "ҙ": "z",
+    "ҫ": "s", "ӏ": "", "ө": "o", "ү": "u", "ұ": "u", "һ": "h",
+}
+LATIN_SPECIAL = {
+    "š": "sh", "ž": "zh", "č": "ch", "ǯ": "j", "ʒ": "dz", "ǧ": "g", "ğ": "g", "ş": "sh", "ç": "ch", "ə": "e", "ı": "i", "ł": "l", "ø": "o", "æ": "a",
+    "œ": "oe", "ß": "ss", "ʁ": "g", "ɣ": "gh", "ħ": "h", "đ": "d", "ð": "d", "þ": "th", "ŋ": "n",
+}
+CHAT = {
+    "T": "თ", "S": "შ", "C": "ჩ", "W": "ჭ", "Z": "ძ", "J": "ჟ", "R": "ღ",
+}
 APOSTROPHES = "'’‘ʼʻ`´′ʹ"
 SKELETON = {
     "shch": "sh", "dzh": "j", "tch": "ch", "sh": "sh", "ch": "ch", "dz": "dz", "ts": "c", "tz": "c", "kh": "h", "gh": "g", "ph": "p", "zh": "j", "th": "t", "dj": "j", "ck": "k",
