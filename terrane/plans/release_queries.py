@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,11 +232,17 @@ def test_points(spark: SparkSession, d: str) -> DataFrame:
     return release.test_points(p.select(F.col("c_custkey").alias("point"), "lat", "lon", (F.col("c_custkey") % 2 == 0).alias("legal")), S.zone_rings())
 
 
-@query("config_check", "GTE01 Q2", "SELECT 'build' AS config, 0 AS problems UNION ALL SELECT 'search', 0 UNION ALL SELECT 'broken', 2")
+@query("config_check", "GTE01 Q2", "SELECT s_suppkey, (CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END + CASE WHEN s_suppkey % 4 = 0 THEN 1 ELSE 0 END + CASE WHEN s_suppkey % 3 = 0 THEN 1 ELSE 0 END)::INT AS problems FROM supplier")
 def config_check(spark: SparkSession, d: str) -> DataFrame:
-    """How many problems the configurations have; a broken one has a weight below zero and a kind without reach."""
-    broken = BuildConfig(parent_weight=-1.0, place_kinds={"city": (0.7, 0.0), "suburb": (0.3, 3.0)})
-    return spark.createDataFrame([(n, len(release.config_problems(c))) for n, c in (("build", BuildConfig()), ("search", SearchConfig()), ("broken", broken))], "config string, problems int")
+    """How many problems each supplier's configuration has: a weight below zero, a kind without reach, a district that is no kind of place."""
+    ship(spark)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            made = [BuildConfig(parent_weight=float(w), place_kinds={"city": (0.7, float(k % 4)), **({} if k % 3 == 0 else {"suburb": (0.3, 3.0)})}) for k, w in zip(pdf["s_suppkey"], pdf["s_acctbal"], strict=True)]
+            yield pd.DataFrame({"s_suppkey": pdf["s_suppkey"], "problems": [len(release.config_problems(c)) for c in made]})
+
+    return table(spark, d, "supplier").select("s_suppkey", "s_acctbal").mapInPandas(run, "s_suppkey long, problems int")
 
 
 @query("hit_labels", "SNK10 PRJ06", "SELECT c_nationkey::BIGINT AS q, 1 AS rank, c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN upper(c_name) ELSE c_name END AS label, c_custkey % 5 > 0 AS routable, CASE WHEN c_custkey % 5 = 0 THEN 'occupied' END AS reason FROM customer")

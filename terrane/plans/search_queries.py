@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import gzip
 import struct
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import SearchConfig
 from ..functions import fold, geo
-from ..operators import build, checks, graph, rank, search
+from ..operators import build, checks, finder, graph, rank, search
 from ..operators import search_rules as rules
+from ..runtime import shared_folder
 from ..sources import binary as B
 from ..sources import tables as src
 from . import shapes as S
@@ -129,9 +132,17 @@ def query_words(spark: SparkSession, d: str) -> DataFrame:
     return search.parsed(c)
 
 
-@query("category_kind", "FTS06")
+_SEGMENTS = ("automobile", "building", "furniture", "household", "machinery")
+
+
+@query("category_kind", "FTS06", "SELECT c_custkey AS q, lower(c_mktsegment) AS kind, (CASE c_custkey % 4 WHEN 0 THEN 1 ELSE 0 END)::INT AS first FROM customer WHERE c_custkey % 4 < 3")
 def category_kind(spark: SparkSession, d: str) -> DataFrame:
-    return search.categories(search.parsed(_typed(spark, ["petrol near rustavi", "hotels", "caf", "restaurant batumi", "street"])))
+    """What customers may type: their segment's word after a name, alone (in the genitive after a consonant), its start as it is typed, or its start before another word, which names no category."""
+    k, word = F.col("c_custkey"), F.lower("c_mktsegment")
+    text = F.when(k % 4 == 0, F.concat(F.lit("tokra "), word)).when(k % 4 == 1, F.when(word.rlike("[ey]$"), word).otherwise(F.concat(word, F.lit("is")))).when(k % 4 == 2, F.substring(word, 1, 6)).otherwise(F.concat(F.substring(word, 1, 6), F.lit(" tokra")))
+    queries = table(spark, d, "customer").select(k.alias("q"), text.alias("text"))
+    cfg = SearchConfig(categories=tuple((w, w) for w in _SEGMENTS))
+    return finder.category_of(finder.typed(queries, cfg), cfg).select("q", "kind", "first")
 
 
 @query("rarest_word", "FTS14 AGG17")
@@ -467,8 +478,26 @@ def zip_tree(spark: SparkSession, d: str) -> DataFrame:
     return src.zip_members(files).select("path", "name", F.sha2("bytes", 256).alias("sha256"), "problem")
 
 
-@query("geojson_text", "SNK04 SNK05 SRC07")
+@query("geojson_text", "SNK04 SNK05 SRC07", f"""SELECT n_name AS name, 'Polygon' AS kind, 0 AS part, 0 AS ring, 5 AS points, round(round({S.sql_lon('n_nationkey')} - 0.1, 7), 5) AS min_lon, round(round({S.sql_lat('n_nationkey')} + 0.1, 7), 5) AS max_lat FROM nation""")
 def geojson_text(spark: SparkSession, d: str) -> DataFrame:
-    rings = S.zone_rings()
-    rows = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(k).alias("zone"), v.alias("rings")) for k, v in rings.items()])).alias("z"))
-    return rows.select("z.zone", src.geojson_feature(F.col("z.zone"), F.col("z.rings")).alias("text"), geo.geometry_key(F.col("z.rings")).alias("sha256"))
+    """Nations as areas around their points: written as one GeoJSON file, a point to a line, and read back."""
+    p = S.points(spark, d, "nation", "n_nationkey")
+    corners = ((-0.1, -0.1), (0.1, -0.1), (0.1, 0.1), (-0.1, 0.1))
+    ring = F.array(*[geo.point(F.col("lon") + x, F.col("lat") + y) for x, y in corners])
+    features = p.select("n_nationkey", src.geojson_feature(F.col("n_name"), F.array(ring)).alias("f"))
+    # one file by the format's own rule, of a few areas
+    whole = features.agg(F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", "f"))), lambda x: x["f"]).alias("f"))
+    path = shared_folder(spark, f"areas-{zlib.crc32(d.encode()):08x}")
+    whole.select(F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.array_join("f", ",\n"), F.lit("]}"))).coalesce(1).write.mode("overwrite").text(path)
+    rows = src.geojson_rings(spark, path)
+    low, high = F.array_min(F.transform("line", lambda q: q["x"])), F.array_max(F.transform("line", lambda q: q["y"]))
+    return rows.select("name", "kind", "part", "ring", F.size("line").alias("points"), F.round(low, 5).alias("min_lon"), F.round(high, 5).alias("max_lat"))
+
+
+@query("edge_file", "SRC10", "SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation FROM supplier")
+def edge_file(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as rows and cells split by control characters: written, and read back in splits."""
+    path = shared_folder(spark, f"edges-{zlib.crc32(d.encode()):08x}")
+    rows = table(spark, d, "supplier").select(F.concat_ws("\x00", F.col("s_suppkey").cast("string"), "s_name", F.col("s_nationkey").cast("string")))
+    rows.write.mode("overwrite").option("lineSep", "\x1e").text(path)
+    return src.edge_rows(spark, path, ["id", "name", "nation"])
