@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +66,8 @@ SURROGATE_KEY, TEST_SECRET = "spark.terrane.surrogateSecret", "for tests only"
 
 def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     secret = spark.conf.get(SURROGATE_KEY, TEST_SECRET)
+    if secret == TEST_SECRET:
+        warnings.warn(f"{SURROGATE_KEY} isn't set: surrogates are keyed with a secret that everybody knows", stacklevel=2)
     return surrogates.replace(table(spark, sf_dir, "documents"), surrogates.key_of(secret))
 
 

@@ -131,12 +131,13 @@ def fit(texts: list[str], labels: list[int], epochs: int = 120, rate: float = 0.
 def train(docs: DataFrame, labels: DataFrame, most: int = 3000, text: str = "text", key: str = "doc_id", label: str = "toxic", most_chars: int = 30_000_000) -> Model:
     """Fits on at most `most` labelled documents, half of each class where there are enough.
 
-    The sample is those with the smallest hash of the key, so it doesn't depend on the order of rows.
+    The sample is those with the smallest hash of the key, so it doesn't depend on the order of rows. Of a
+    key's labels the smaller one counts, so that a text is only toxic where nobody says that it isn't.
     Only its keys are broadcast, `most` of them, and only its texts come to the driver, as many in the
     order of the hash as have `most_chars` characters together (the first one in any case).
     """
     prepare(docs.sparkSession)
-    known = labels.select(F.col(quoted(key)).alias("_k"), F.col(quoted(label)).cast("int").alias("_y")).where("_k is not null and _y in (0, 1)").dropDuplicates(["_k"])
+    known = labels.select(F.col(quoted(key)).alias("_k"), F.col(quoted(label)).cast("int").alias("_y")).where("_k is not null and _y in (0, 1)").groupBy("_k").agg(F.min("_y").alias("_y"))
     sizes = {r._y: r.n for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     hashed = known.withColumn("_h", F.pmod(F.xxhash64("_k"), F.lit(1 << 30)))
 

@@ -338,12 +338,12 @@ def test_secret_scans_take_time_as_the_text_does(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op12_whitening", "op13_negatives"}))  # those read embeddings
 def test_registered_queries(spark, docs, name):
     """Each query as it is registered gives a row for each document (pieces: at least) and the columns of its contract."""
     want = {
         "op1": "held_out score predicted", "op2": "n_tokens ids_sha256 decoded_sha256", "op3": "n_assign n_access n_hex base_sha256 spans", "op4": "text", "op5": "piece start length ids_crc32 sequence_id offset", "op6": "n_bytes payload_bytes payload_sha256 tail_crc32 media_bytes media_sha256 feature",
-        "op7": "fingerprint component_id", "op8": "n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next", "op9": "held_out n_tokens n_known train_tokens base_score score", "op10": "held_out lang_pred score",
+        "op7": "fingerprint component_id", "op8": "n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next", "op9": "held_out n_tokens n_known train_tokens base_score score", "op10": "held_out lang_pred score", "op11": "n_bytes n_removed n_spans kept_sha256",
     }[name.split("_")[0]].split()
     df = queries.QUERIES[name](spark, DATA)
     assert set(want) | {"doc_id"} <= set(df.columns)
@@ -358,3 +358,15 @@ def test_words_by_arrow_kernels_are_the_librarys():
     want = [np.array(encode.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert encode(texts) == want and encode(texts[::-1]) == want[::-1]
     assert remainder("doc_id", 3) is not None
+
+
+def test_conflicting_labels_of_one_key(spark):
+    """The smaller label counts, whatever the order of rows."""
+    bad, good = "all is well. you are a moron today. fine", "all is well. you are a friend today. fine"
+    docs = spark.createDataFrame([(i, bad if i % 3 == 0 else good) for i in range(90)], "doc_id long, text string")
+    labels = [(i, int(i % 3 == 0)) for i in range(90)]
+    more = [(i, 1) for i in range(1, 90, 3)]
+    plain = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    for rows in (labels + more, more + labels):
+        assert toxicity.train(docs, spark.createDataFrame(rows, "doc_id long, toxic int").repartition(3)) == plain
+    assert any(w > 0 for w in plain.weights.values())
