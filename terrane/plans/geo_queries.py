@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import graph, lines, rank, spatial
+from ..operators import graph, lines, rank, sections, spatial
 from . import shapes as S
 from .registry import query, table
 
@@ -514,6 +514,29 @@ def shortest_path(spark: SparkSession, d: str) -> DataFrame:
     return graph.limits_along(rows)
 
 
+@query("section_limits", "PIP07 PIP08 GEO08 GEO09", """WITH n AS (SELECT count(*) // 100 AS n FROM part), w AS (SELECT p_partkey // 100 AS line, p_partkey % 100 // 10 AS j, 20 + p_size % 5 * 10 AS kmh FROM part WHERE p_partkey % 10 = 0),
+    s AS (SELECT s_suppkey AS id, s_suppkey % n AS line, s_suppkey * 7 % 80 AS a, s_suppkey * 7 % 80 + 5 + s_suppkey % 14 AS b, 20 + s_suppkey % 5 * 10 AS kmh FROM supplier, n),
+    o AS (SELECT s.id, s.kmh, string_agg(DISTINCT CASE WHEN w.kmh <> s.kmh THEN w.kmh::VARCHAR END, '/' ORDER BY CASE WHEN w.kmh <> s.kmh THEN w.kmh::VARCHAR END) AS why FROM s JOIN w ON w.line = s.line AND w.j BETWEEN s.a // 10 AND s.b // 10 GROUP BY 1, 2)
+    SELECT id::VARCHAR AS id, 90 AS heading, CASE WHEN why IS NULL THEN kmh END::INT AS maxspeed, why FROM o""")
+def section_limits(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as nodes of roads, ten to a way, with limits by size; suppliers as sections from one node's side to another's: which limit holds all the way."""
+    part = table(spark, d, "part")
+    k = F.col("p_partkey")
+    x, y = F.lit(44.05) + k % 100 / 1000, F.lit(41.6) + F.floor(k / 100) % 100 / 200
+    nodes = part.select(k.alias("node"), F.floor(k / 100).alias("row"), (k % 100).alias("i"), geo.point(x, y).alias("p"), (20 + F.col("p_size") % 5 * 10).alias("kmh"))
+    # a way's last node is the first of the next one
+    each = nodes.withColumn("j", F.explode(F.array_compact(F.array(F.floor(F.col("i") / 10), F.when((F.col("i") % 10 == 0) & (F.col("i") > 0), F.floor(F.col("i") / 10) - 1)))))
+    w = each.groupBy("row", "j").agg(F.sort_array(F.collect_list(F.struct("i", "node", "p"))).alias("n"), F.min_by("kmh", "i").alias("kmh"))
+    tags = F.create_map(F.lit("highway"), F.lit("primary"), F.lit("ref"), F.concat(F.lit("R"), F.col("row").cast("string")), F.lit("maxspeed"), F.col("kmh").cast("string"))
+    ways = w.select((F.col("row") * 10 + F.col("j")).alias("way"), F.transform("n", lambda v: v["node"]).alias("refs"), F.transform("n", lambda v: v["p"]).alias("line"), tags.alias("tags"))
+    s = F.col("s_suppkey")
+    own = table(spark, d, "supplier").withColumn("row", s % (part.count() // 100)).withColumn("a", s * 7 % 80)
+    at = lambda i: F.lit(44.0505) + i / 1000
+    lat = F.lit(41.6) + F.col("row") % 100 / 200
+    wanted = own.select(s.cast("string").alias("id"), F.concat(F.lit("r:R"), F.col("row").cast("string")).alias("road"), lat.alias("a_lat"), at(F.col("a")).alias("a_lon"), lat.alias("b_lat"), at(F.col("a") + 5 + s % 14).alias("b_lon"), (20 + s % 5 * 10).cast("int").alias("maxspeed"), F.lit("corroborated").alias("status"))
+    return sections.place_sections(wanted, ways, S.zone_rings()).select("id", "heading", "maxspeed", "why")
+
+
 def boxes_overlap(a: DataFrame) -> DataFrame:
     """Pairs of boxes (name, x, y, width, height) that share area, by cells of 64."""
     span = lambda lo, size: F.sequence(F.floor(F.col(lo) / 64), F.floor((F.col(lo) + F.col(size) - 1) / 64))
