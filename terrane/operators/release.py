@@ -145,6 +145,12 @@ def config_problems(cfg: BuildConfig | SearchConfig) -> list[str]:
     return sorted(out)
 
 
+def free_edges(edges: DataFrame, exempt: tuple[str, ...]) -> DataFrame:
+    """Edges of a restricted band that a route may use freely: not for a destination alone, and of no exempt class. edges: way, class, destination (null: no)."""
+    open_ = ~F.coalesce("destination", F.lit(False)) & ~F.coalesce(F.col("class").isin(*exempt), F.lit(False))
+    return edges.where(open_).withColumn("problem", F.concat(F.lit("way "), F.col("way").cast("string"), F.lit(" ("), F.coalesce("class", F.lit("None")), F.lit(")")))
+
+
 def timed(rows: DataFrame, milliseconds: float, searches: int, most: float) -> DataFrame:
     """rows with in_time: whether searches that were made together took no longer, each, than they may."""
     return rows.withColumn("in_time", F.lit(milliseconds <= most * max(1, searches)))

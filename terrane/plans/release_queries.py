@@ -279,3 +279,11 @@ def city_of_area(spark: SparkSession, d: str) -> DataFrame:
     return areas.city_by_area(p, rows, own, centres, "p_partkey", 3000.0)
 
 
+
+
+@query("free_edges", "FLT13", "SELECT o_orderkey AS way, 'way ' || o_orderkey || ' (' || c || ')' AS problem FROM (SELECT *, list_extract(['motorway', 'trunk', 'primary', 'secondary', 'tertiary', 'residential', 'service', 'track'], (o_orderkey % 8 + 1)::INT) AS c FROM orders) WHERE o_custkey % 7 <> 2 AND o_orderkey % 8 > 1")
+def free_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as edges of the band, every seventh customer's for a destination alone; motorways and trunk roads are exempt."""
+    k = F.col("o_orderkey")
+    edges = table(spark, d, "orders").select(k.alias("way"), F.get(F.array(*map(F.lit, S.CLASSES)), (k % 8).cast("int")).alias("class"), F.when(F.col("o_custkey") % 7 == 2, True).alias("destination"))
+    return release.free_edges(edges, ("motorway", "trunk")).select("way", "problem")
