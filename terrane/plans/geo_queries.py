@@ -358,17 +358,17 @@ _TURN = "CASE WHEN sign > 0 THEN line ELSE (line + 180) % 360 END"
 _APART = lambda a, b: f"abs((({a} - {b} + 180) % 360 + 360) % 360 - 180)"
 
 
-@query("only_heading", "JN17", f"""WITH g AS (SELECT s_suppkey, way, min(metres) AS metres, arg_min(pos, metres) AS pos FROM {_SEGMENT_M} WHERE metres <= 900 GROUP BY 1, 2),
+@query("only_heading", "JN17", f"""WITH g AS (SELECT s_suppkey, way, min(metres) AS metres, arg_min(pos, metres) AS pos FROM {_SEGMENT_M} WHERE metres <= 20 GROUP BY 1, 2),
     b AS (SELECT g.*, CASE way % 3 WHEN 0 THEN 1 WHEN 1 THEN -1 ELSE 0 END AS sign, (degrees(atan2(sin(radians(x2 - x1)) * cos(radians(y2)), cos(radians(y1)) * sin(radians(y2)) - sin(radians(y1)) * cos(radians(y2)) * cos(radians(x2 - x1)))) + 360) % 360 AS line FROM g JOIN {_SEGMENTS} s USING (way, pos)),
-    r AS (SELECT *, {_TURN} AS turn, row_number() OVER (PARTITION BY s_suppkey ORDER BY metres, way % 8, way) AS rank FROM b), f AS (SELECT * FROM r WHERE rank = 1 AND metres <= 1500),
-    a AS (SELECT f.s_suppkey, f.sign, f.turn, bool_and(CASE WHEN r.way <> f.way AND {_APART("r.line % 180", "f.line % 180")} <= 60 AND (f.metres > 100 OR r.metres <= 100) THEN r.sign <> 0 AND {_APART("r.turn", "f.turn")} <= 60 ELSE true END) AS same FROM f JOIN r USING (s_suppkey) GROUP BY 1, 2, 3)
+    r AS (SELECT *, {_TURN} AS turn, row_number() OVER (PARTITION BY s_suppkey ORDER BY metres, way % 8, way) AS rank FROM b), f AS (SELECT * FROM r WHERE rank = 1 AND metres <= 20),
+    a AS (SELECT f.s_suppkey, f.sign, f.turn, bool_and(CASE WHEN r.way <> f.way AND {_APART("r.line % 180", "f.line % 180")} <= 10 AND (f.metres > 5 OR r.metres <= 5) THEN r.sign <> 0 AND {_APART("r.turn", "f.turn")} <= 10 ELSE true END) AS same FROM f JOIN r USING (s_suppkey) GROUP BY 1, 2, 3)
     SELECT s_suppkey, round(CASE WHEN sign <> 0 AND same THEN turn END, 4) AS heading FROM a""")
 def only_heading(spark: SparkSession, d: str) -> DataFrame:
     """The only direction past each supplier, where the roads around leave just one."""
     p = S.points(spark, d, "supplier", "s_suppkey").select("s_suppkey", "lat", "lon")
-    near = spatial.nearest_roads(p, S.ways(spark, d).select("way", "line", "class_rank"), "s_suppkey", 900.0)
+    near = spatial.nearest_roads(p, S.ways(spark, d).select("way", "line", "class_rank"), "s_suppkey", 20.0)
     sign = F.when(F.col("way") % 3 == 0, 1).when(F.col("way") % 3 == 1, -1).otherwise(0)
-    return spatial.only_heading(near.withColumn("sign", sign), "s_suppkey", 1500.0, 100.0, 60.0).withColumn("heading", r(F.col("heading"), 4))
+    return spatial.only_heading(near.withColumn("sign", sign), "s_suppkey", 20.0, 5.0, 10.0).withColumn("heading", r(F.col("heading"), 4))
 
 
 @query("run_lookup", "SRC15 JN16", "SELECT l_orderkey, l_orderkey % 5000 AS tile_id, (l_orderkey % 5000) // 7 * 7 AS first_id FROM (SELECT DISTINCT l_orderkey FROM lineitem) WHERE l_orderkey % 5000 < 3500 AND (l_orderkey % 5000) % 7 < 4")
