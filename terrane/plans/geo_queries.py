@@ -455,7 +455,11 @@ def four_wheel_rule(spark: SparkSession, d: str) -> DataFrame:
     return lines.judged(_clip_ways(spark, d), S.zone_rings(), BAND_CLASSES).select("way", F.col("four").alias("destination"))
 
 
-@query("relation_filter", "ARR07")
+@query("relation_filter", "ARR07", f"""WITH c AS ({_CLIP}), p AS (SELECT way, count(*) AS n FROM c WHERE piece IS NOT NULL GROUP BY way), g AS (SELECT DISTINCT way FROM c WHERE piece IS NULL),
+    m AS (SELECT o_custkey AS relation, CASE WHEN o_custkey % 10 = 0 THEN 'restriction' ELSE 'route' END AS kind, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos, o_orderkey AS ref FROM orders),
+    f AS (SELECT m.*, g.way IS NOT NULL AS gone, coalesce(p.n, 0) > 1 AS cut FROM m LEFT JOIN g ON g.way = ref LEFT JOIN p ON p.way = ref), bad AS (SELECT relation FROM f WHERE kind = 'restriction' AND (gone OR cut)),
+    e AS (SELECT f.relation, f.kind, f.pos, coalesce(c.piece, 0) AS piece, coalesce(c.id, f.ref) AS id FROM f LEFT JOIN c ON f.cut AND c.way = f.ref AND c.piece IS NOT NULL WHERE NOT gone AND relation NOT IN (SELECT relation FROM bad))
+    SELECT relation, kind, count(*)::INT AS n, list(id ORDER BY pos, piece) AS refs FROM e GROUP BY 1, 2""")
 def relation_filter(spark: SparkSession, d: str) -> DataFrame:
     """Customers as relations whose members are their orders' ways, after the clip."""
     pieces = clipped(_clip_ways(spark, d))
@@ -487,10 +491,13 @@ def components(spark: SparkSession, d: str) -> DataFrame:
     return graph.components(li.select(F.col("l_partkey").alias("a"), (F.col("l_partkey") - 1).alias("b")).distinct())
 
 
-@query("point_clusters", "AGG12 AGG13 AGG09")
+@query("point_clusters", "AGG12 AGG13 AGG09", f"""WITH RECURSIVE p AS (SELECT p_partkey AS k, p_size, {_LAT('p_partkey')} AS lat, {_LON('p_partkey')} AS lon FROM part),
+    e AS (SELECT a.k AS a, b.k AS b FROM p a JOIN p b ON a.k <> b.k AND abs(a.lat - b.lat) < 0.03 AND {S.sql_metres('a.lat', 'a.lon', 'b.lat', 'b.lon')} <= 1500),
+    r(node, root) AS (SELECT k, k FROM p UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node), c AS (SELECT node, min(root) AS cluster FROM r GROUP BY node)
+    SELECT cluster, count(*) AS n, arg_max(k, p_size::BIGINT * 100000000 - k) AS best FROM c JOIN p ON k = node GROUP BY 1""")
 def point_clusters(spark: SparkSession, d: str) -> DataFrame:
     p = S.points(spark, d, "part", "p_partkey").select("p_partkey", "p_size", "lat", "lon")
-    c = graph.linked_clusters(p.select("p_partkey", "lat", "lon"), "p_partkey", 400.0)
+    c = graph.linked_clusters(p.select("p_partkey", "lat", "lon"), "p_partkey", 1500.0)
     return c.join(p, "p_partkey").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max_by("p_partkey", F.struct(F.col("p_size"), (-F.col("p_partkey")).alias("k"))).alias("best"))
 
 
