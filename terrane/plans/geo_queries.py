@@ -307,7 +307,7 @@ def settlement_of_address(spark: SparkSession, d: str) -> DataFrame:
     p = S.points(spark, d, "customer", "c_custkey")
     z = p.select("c_custkey", spatial.zone(S.zone_rings(), F.col("lat"), F.col("lon")).alias("zone"), r(rank.log_share(F.col("c_acctbal"), 10_000.0), 4).alias("importance"))
     legal = z.where(~F.coalesce(F.col("zone").isin("outside", "buffer"), F.lit(False))).join(settlement_of_point(spark, d).select("c_custkey", "settlement"), "c_custkey")
-    ranked = rank.row_ids(legal, [F.col("importance").desc(), F.col("c_custkey").asc()], "id", 8)
+    ranked = rank.row_ids(legal, [F.col("importance").desc(), F.col("c_custkey").asc()], "id")
     return ranked.select("c_custkey", "settlement", F.coalesce("zone", F.lit("legal")).alias("zone"), "importance", "id")
 
 

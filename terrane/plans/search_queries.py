@@ -80,7 +80,7 @@ def route_split(spark: SparkSession, d: str) -> DataFrame:
 def _rows(spark: SparkSession, d: str) -> DataFrame:
     """Parts as rows that are searched, with ids by importance."""
     p = S.points(spark, d, "part", "p_partkey").select("p_partkey", F.col("p_name").alias("name"), F.round(F.col("p_retailprice") / 3000, 4).alias("importance"), "lat", "lon")
-    return rank.row_ids(p, [F.col("importance").desc(), F.col("p_partkey").asc()], "id", 8)
+    return rank.row_ids(p, [F.col("importance").desc(), F.col("p_partkey").asc()], "id")
 
 
 _SQL_ROWS = f"(SELECT p_partkey, p_name AS name, round(p_retailprice / 3000, 4) AS importance, {S.sql_lat('p_partkey')} AS lat, {S.sql_lon('p_partkey')} AS lon, row_number() OVER (ORDER BY round(p_retailprice / 3000, 4) DESC, p_partkey) AS id FROM part)"

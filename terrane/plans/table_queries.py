@@ -161,7 +161,7 @@ def tile_counts(spark: SparkSession, d: str) -> DataFrame:
 @query("importance_rank", "SRT01 AGG14", "SELECT c_custkey, round(least(greatest(log10(greatest(c_acctbal, 0) + 1) / log10(10001), 0), 1), 4) AS importance, row_number() OVER (ORDER BY round(least(greatest(log10(greatest(c_acctbal, 0) + 1) / log10(10001), 0), 1), 4) DESC, c_custkey) AS id FROM customer")
 def importance_rank(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", F.round(rank.log_share(F.col("c_acctbal"), 10_000.0), 4).alias("importance"))
-    return rank.row_ids(c, [F.col("importance").desc(), F.col("c_custkey").asc()], "id", 8)
+    return rank.row_ids(c, [F.col("importance").desc(), F.col("c_custkey").asc()], "id")
 
 
 @query("topk_per_kind", "SRT03 SRT05", "SELECT p_brand, p_partkey, rank FROM (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rank FROM part) WHERE rank <= 10")
