@@ -97,10 +97,10 @@ def _deal(fps: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
     v = np.empty(len(even) * len(MASKS) + len(odd) * 64, np.uint64)
     k = np.empty(len(v), np.uint16)
     cut = len(even) * len(MASKS)
-    np.bitwise_xor(even[:, None], MASKS, out=v[:cut].reshape(len(even), -1))
-    np.bitwise_xor(odd[:, None], MASKS[_ONE], out=v[cut:].reshape(len(odd), -1))
-    k[:cut].reshape(len(even), -1)[:] = np.arange(len(MASKS))
-    k[cut:].reshape(len(odd), -1)[:] = np.arange(1, 65)
+    np.bitwise_xor(even[:, None], MASKS, out=v[:cut].reshape(len(even), len(MASKS)))
+    np.bitwise_xor(odd[:, None], MASKS[_ONE], out=v[cut:].reshape(len(odd), 64))
+    k[:cut].reshape(len(even), len(MASKS))[:] = np.arange(len(MASKS))
+    k[cut:].reshape(len(odd), 64)[:] = np.arange(1, 65)
     mixed = v >> np.uint64(31)
     mixed ^= v
     mixed *= np.uint64(0x9E3779B97F4A7C15)

@@ -370,3 +370,13 @@ def test_conflicting_labels_of_one_key(spark):
     for rows in (labels + more, more + labels):
         assert toxicity.train(docs, spark.createDataFrame(rows, "doc_id long, toxic int").repartition(3)) == plain
     assert any(w > 0 for w in plain.weights.values())
+
+
+@pytest.mark.parametrize("bits", [0, 1])
+def test_simhash_deals_fingerprints_of_one_parity(bits):
+    """A batch may hold only even or only odd fingerprints."""
+    fps = np.array([x for x in range(64) if x.bit_count() % 2 == bits], np.uint64)
+    dealt = list(simhash._deal(fps, 3))
+    assert sum(len(v) // 8 for _, v, _ in dealt) == len(fps) * (64 if bits else len(simhash.MASKS))
+    for _, v, k in dealt:
+        assert set((np.frombuffer(v, np.uint64) ^ simhash.MASKS[np.frombuffer(k, np.uint16)]).tolist()) <= set(fps.tolist())
