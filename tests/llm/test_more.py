@@ -380,3 +380,12 @@ def test_simhash_deals_fingerprints_of_one_parity(bits):
     assert sum(len(v) // 8 for _, v, _ in dealt) == len(fps) * (64 if bits else len(simhash.MASKS))
     for _, v, k in dealt:
         assert set((np.frombuffer(v, np.uint64) ^ simhash.MASKS[np.frombuffer(k, np.uint16)]).tolist()) <= set(fps.tolist())
+
+
+def test_pipeline_keeps_a_lone_document(spark):
+    """Its one batch of fingerprints is of one parity, whichever that is."""
+    import corpus_pipeline
+
+    for text in ("a lone text of some words", "another lone text of other words", "third", "fourth text", ""):
+        one = spark.createDataFrame([(1, text, "en", "x", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+        assert [r.doc_id for r in corpus_pipeline.unique(spark, one, DATA).collect()] == [1]
