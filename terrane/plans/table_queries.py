@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import tags as T
-from ..operators import checks, graph, rank
+from ..operators import checks, graph, rank, spatial
 from . import shapes as S
 from .registry import query, table
 
@@ -29,16 +29,18 @@ def hash_lookup(spark: SparkSession, d: str) -> DataFrame:
     SELECT s_suppkey, p_partkey, tier FROM (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY tier, metres, p_partkey) rn FROM c WHERE metres <= 60000) WHERE rn = 1""")
 def address_street(spark: SparkSession, d: str) -> DataFrame:
     """The nearest street of the very name, else the nearest that has the first word."""
-    from ..functions import geo
-
     part = table(spark, d, "part")
     word = lambda c: F.split(F.col(c), " ")[0]
     streets = S.points(spark, d, "part", "p_partkey").select("p_partkey", "p_name", word("p_name").alias("word"), F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"))
     names = part.select((F.col("p_partkey") / 3).cast("long").alias("s_suppkey"), F.col("p_name").alias("nm")).where(F.col("p_partkey") % 3 == 0)
     a = S.points(spark, d, "supplier", "s_suppkey").join(names, "s_suppkey").select("s_suppkey", "nm", word("nm").alias("word"), "lat", "lon")
-    pairs = a.join(streets, "word").withColumn("metres", F.round(geo.distance_m(F.col("lat"), F.col("lon"), F.col("r_lat"), F.col("r_lon")), 3)).where("metres <= 60000")
-    best = F.min(F.struct(F.when(F.col("p_name") == F.col("nm"), 0).otherwise(1).alias("tier"), F.col("metres"), F.col("p_partkey")))
-    return pairs.groupBy("s_suppkey").agg(best.alias("b")).select("s_suppkey", "b.p_partkey", "b.tier")
+    # metres count to three digits, so a tie of those goes by the key
+    near = lambda of, streets_, on: spatial.nearest(of, streets_, "s_suppkey", "p_partkey", None, 60_000.001, (on,), 3).where("metres <= 60000")
+    exact = graph.kept(near(a, streets.select("p_partkey", F.col("p_name").alias("nm"), "r_lat", "r_lon"), "nm"))
+    rest = graph.kept(a.join(exact, "s_suppkey", "left_anti"))
+    begun = near(rest, streets.drop("p_name"), "word")
+    row = lambda df, tier: df.select("s_suppkey", "p_partkey", F.lit(tier).alias("tier"))
+    return row(exact, 0).unionByName(row(begun, 1))
 
 
 @query("semi_join", "JN10 SRC01 FLT04", "SELECT p_partkey FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')")
