@@ -26,7 +26,7 @@ def split_by_flags(first: Column, flags: Column) -> Column:
     return let(flags, lambda f: let(starts(f), lambda s: piece(f, s)))
 
 
-def judged(ways: DataFrame, rings: dict[str, Column], band_classes: tuple[str, ...] = ()) -> DataFrame:
+def judged(ways: DataFrame, rings: dict[str, geo.Rings], band_classes: tuple[str, ...] = ()) -> DataFrame:
     """Ways (way, line, tags) with what `cut_ways` asks for, and `destination`.
 
     A node may stay if it has a place, lies in the country and not in the hard zone. A segment may stay if both
@@ -36,7 +36,7 @@ def judged(ways: DataFrame, rings: dict[str, Column], band_classes: tuple[str, .
     """
     xy = lambda p: p["x"].isNotNull() & p["y"].isNotNull() & ~F.isnan(p["x"]) & ~F.isnan(p["y"])
     node = lambda sides: F.transform("line", lambda p: F.coalesce(xy(p) & geo.within_sides(sides, p["x"], p["y"]), F.lit(False)))
-    inside = lambda zone: let(geo.ring_edges(rings[zone]), node)
+    inside = lambda zone: geo.with_edges(rings[zone], node)
     n = F.greatest(F.size("line") - 1, F.lit(0))
     pairs = lambda c, f: F.zip_with(F.slice(c, 1, n), F.slice(c, 2, n), f)
     w = ways.withColumn("country", inside("country")).withColumn("hard", inside("hard"))
@@ -44,7 +44,7 @@ def judged(ways: DataFrame, rings: dict[str, Column], band_classes: tuple[str, .
     # only segments whose ends are fine are asked further; with ends inside, one that meets no edge of the country stays in it
     whole = lambda c, h, e: (~geo.meets(c, e["a"], e["b"]) | geo.segment_within(rings["country"], e["a"], e["b"])) & ~geo.meets(h, e["a"], e["b"])
     tested = lambda c, h: F.zip_with("fine", geo.edges(F.col("line")), lambda fine, e: F.when(fine, whole(c, h, e)).otherwise(False))
-    w = w.withColumn("segment_ok", let(geo.ring_edges(rings["country"]), lambda c: let(geo.ring_edges(rings["hard"]), lambda h: tested(c, h))))
+    w = w.withColumn("segment_ok", geo.with_edges(rings["country"], lambda c: geo.with_edges(rings["hard"], lambda h: tested(c, h))))
     highway, route = T.tag(F.col("tags"), "highway"), T.tag(F.col("tags"), "route")
     access = T.car_access(F.col("tags"))
     w = w.withColumn("is_road", T.road_like(F.col("tags"))).withColumn("is_ferry", F.coalesce(route.isin(*T.FERRIES), F.lit(False))).withColumn("n_nodes", F.size("line"))
@@ -52,7 +52,7 @@ def judged(ways: DataFrame, rings: dict[str, Column], band_classes: tuple[str, .
     banded = F.coalesce(highway.isin(*band_classes), F.lit(False)) & (access == "yes") & ~F.col("four")
     touches = lambda b, ends: F.zip_with(ends, geo.edges(F.col("line")), lambda held, e: held | F.coalesce(xy(e["a"]) & xy(e["b"]) & geo.meets(b, e["a"], e["b"]), F.lit(False)))
     ends = let(inside("band"), lambda flags: pairs(flags, lambda a, b: a | b))
-    w = w.withColumn("band", F.when(banded, let(geo.ring_edges(rings["band"]), lambda b: touches(b, ends))).otherwise(F.array().cast("array<boolean>")))
+    w = w.withColumn("band", F.when(banded, geo.with_edges(rings["band"], lambda b: touches(b, ends))).otherwise(F.array().cast("array<boolean>")))
     return w.withColumn("any_hard", F.exists("hard", lambda x: x)).withColumn("any_outside", F.exists("country", lambda x: ~x))
 
 

@@ -109,7 +109,7 @@ def offered_in_zone(hits: DataFrame, hard: Column) -> DataFrame:
     return hits.where(geo.contains(hard, F.col("lon"), F.col("lat")) & ~shown)
 
 
-def trip_results(trips: DataFrame, legs: DataFrame, rings: dict[str, Column]) -> DataFrame:
+def trip_results(trips: DataFrame, legs: DataFrame, rings: dict[str, geo.Rings]) -> DataFrame:
     """trip, passed, problem. trips: trip, must ('fail' or 'pass'); legs: trip, line. No answer is what a trip that must fail has; a route must keep clear of the hard zone and inside the country."""
     line = F.col("line")
     why = F.when(geo.line_hits(rings["hard"], line), "enters the zone").when(geo.first_outside(line, rings["country"]).isNotNull(), "leaves the country")
@@ -119,7 +119,7 @@ def trip_results(trips: DataFrame, legs: DataFrame, rings: dict[str, Column]) ->
     return t.select("trip", problem.isNull().alias("passed"), problem.alias("problem"))
 
 
-def test_points(points: DataFrame, rings: dict[str, Column]) -> DataFrame:
+def test_points(points: DataFrame, rings: dict[str, geo.Rings]) -> DataFrame:
     """point, passed: whether the points of route tests lie where their tests need them: ends of trips that must pass on legal land, of others not. points: point, lat, lon, legal."""
     legal = geo.contains(rings["country"], F.col("lon"), F.col("lat")) & ~geo.contains_closed(rings["hard"], F.col("lon"), F.col("lat"))
     return points.select("point", (legal == F.col("legal")).alias("passed"))

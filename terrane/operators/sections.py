@@ -111,7 +111,7 @@ def walks(trips: DataFrame, graph: DataFrame) -> DataFrame:
     return reached.where("node = target").select("id", F.col("best.metres").alias("metres"), F.col("best.limits").alias("limits"))
 
 
-def place_sections(sections: DataFrame, ways: DataFrame, rings: dict[str, Column], snap_m: float = 60.0, line_max_deg: float = 25.0) -> DataFrame:
+def place_sections(sections: DataFrame, ways: DataFrame, rings: dict[str, geo.Rings], snap_m: float = 60.0, line_max_deg: float = 25.0) -> DataFrame:
     """Sections whose both ends land on their road, outside of what is closed: id, lat, lon, end_lat, end_lon, heading, maxspeed, src, band, why.
 
     sections: id, road (r:ref or n:name), a_lat, a_lon, b_lat, b_lon, maxspeed, status; ways: way, refs, line, tags.

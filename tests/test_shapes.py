@@ -152,3 +152,25 @@ def test_strict_rings_name_the_loose_end(spark):
     assert graph.assemble_rings(rows).first().loose == [10, 11]
     with pytest.raises(Exception, match="node 3|node 4"):
         graph.assemble_rings(rows, strict=True).collect()
+
+
+def test_polygons_of_plain_numbers(spark):
+    """Tests against a polygon of plain numbers are those against its column, and are compiled: no lambda goes through its sides."""
+    rng = random.Random(3)
+    ends = [(rng.uniform(43.9, 45.4), rng.uniform(40.9, 42.4)) for _ in range(150)] + OUTER + HOLE
+    pairs = [(i, *rng.choice(ends), *rng.choice(ends)) for i in range(300)]
+    df = spark.createDataFrame(pairs, "i long, ax double, ay double, bx double, by double")
+    p, q = geo.point(F.col("ax"), F.col("ay")), geo.point(F.col("bx"), F.col("by"))
+    line = F.array(p, q, geo.point(F.col("ax") + 0.2, F.col("by")))
+
+    def asked(r):
+        near = geo.ring_distance_m(r, p["y"], p["x"])
+        return [geo.segment_hits(r, p, q), geo.segment_within(r, p, q), geo.contains(r, p["x"], p["y"]), geo.contains_closed(r, p["x"], p["y"]), near, geo.line_hits(r, line), geo.first_outside(line, r)]
+
+    both = [[OUTER, HOLE], rings()]
+    for r in df.select(*[F.struct(*asked(b)).alias(f"of{i}") for i, b in enumerate(both)]).collect():
+        assert r.of0 == r.of1
+    plan = df.select(*asked(both[0])[:5])._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "*(1) Project" in plan
+    gaps = {r.i: r.metres for r in spatial.line_gaps(df.select("i", line.alias("line")), both[0], "i").collect()}
+    assert gaps == {r.i: pytest.approx(r.m) for r in df.select("i", geo.line_gap_m(rings(), line).alias("m")).collect()}
