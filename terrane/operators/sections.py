@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions import tags as T
-from ..runtime import checkpointed
+from ..runtime import checkpointed, forgotten
 from .spatial import cell, zone
 
 #: Cells of segments, in degrees; limits are told as text, this where there is none.
@@ -97,7 +97,7 @@ def walks(trips: DataFrame, graph: DataFrame) -> DataFrame:
     the one with the lesser list of limits counts.
     """
     zero = F.array().cast("array<string>")
-    reached = checkpointed(trips.select("id", "road", F.col("source").alias("node"), "target", "most", F.struct(F.lit(0.0).alias("metres"), zero.alias("limits")).alias("best")))
+    reached = forgotten(trips.select("id", "road", F.col("source").alias("node"), "target", "most", F.struct(F.lit(0.0).alias("metres"), zero.alias("limits")).alias("best")))
     front = reached
     while not front.isEmpty():
         goal = reached.where("node = target").select("id", F.col("best.metres").alias("goal"))
@@ -106,8 +106,8 @@ def walks(trips: DataFrame, graph: DataFrame) -> DataFrame:
         far = F.struct((F.col("best.metres") + F.col("m")).alias("metres"), F.array_sort(F.array_union("best.limits", "l")).alias("limits"))
         offered = step.select("id", "road", F.col("next").alias("node"), "target", "most", far.alias("far")).groupBy("id", "road", "node", "target", "most").agg(F.min("far").alias("far"))
         old = reached.select("id", "node", F.col("best").alias("old"))
-        front = checkpointed(offered.join(old, ["id", "node"], "left").where("old is null or far < old").select("id", "road", "node", "target", "most", F.col("far").alias("best")))
-        reached = checkpointed(reached.join(front.select("id", "node"), ["id", "node"], "left_anti").unionByName(front))
+        front = forgotten(offered.join(old, ["id", "node"], "left").where("old is null or far < old").select("id", "road", "node", "target", "most", F.col("far").alias("best")))
+        reached = forgotten(reached.join(front.select("id", "node"), ["id", "node"], "left_anti").unionByName(front))
     return reached.where("node = target").select("id", F.col("best.metres").alias("metres"), F.col("best.limits").alias("limits"))
 
 
