@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from ..runtime import forgotten
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -15,9 +15,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     steps, and the edges are rewritten to what is left. Hot labels only meet in joins, which adaptive
     execution splits, and in a minimum, which is taken before the shuffle. Null ends are dropped.
     """
-    edges = saved(edges.where("a is not null and b is not null and a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    edges = forgotten(edges.where("a is not null and b is not null and a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    labels = saved(nodes.select("node", F.col("node").alias("label")))
+    labels = forgotten(nodes.select("node", F.col("node").alias("label")))
     for _ in range(most_rounds):
         if edges.isEmpty():
             return labels
@@ -25,8 +25,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         parent = both.groupBy("a").agg(F.min("b").alias("p")).select(F.col("a").alias("x"), F.least("a", "p").alias("p"))
         for _ in range(2):
             up = parent.select(F.col("x").alias("p"), F.col("p").alias("q"))
-            parent = saved(parent.join(up, "p", "left").select("x", F.coalesce("q", "p").alias("p")))
+            parent = forgotten(parent.join(up, "p", "left").select("x", F.coalesce("q", "p").alias("p")))
         moved = lambda df, c: df.join(parent.select(F.col("x").alias(c), F.col("p").alias("_p")), c, "left").withColumn(c, F.coalesce("_p", c)).drop("_p")
-        labels = saved(moved(labels, "label"))
-        edges = saved(moved(moved(edges, "a"), "b").where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        labels = forgotten(moved(labels, "label"))
+        edges = forgotten(moved(moved(edges, "a"), "b").where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     raise RuntimeError("components did not settle")
